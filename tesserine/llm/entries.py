@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tesserine.llm.common import prepare
 from tesserine.llm.exact_dedup import exact_dedup
+from tesserine.llm.secrets import scan_secrets, span_digest
+from tesserine.llm.url_filters import filter_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +18,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup,)}
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_secret_scan, op10_url_filters)}
 
 ORACLES = {
     "op1_exact_dedup": """
