@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tesserine.llm.common import prepare
 from tesserine.llm.exact_dedup import exact_dedup
 from tesserine.llm.language_id import fit_profiles, held_out, identify
+from tesserine.llm.packing import pack
 from tesserine.llm.secrets import scan_secrets, span_digest
 from tesserine.llm.url_filters import filter_urls
 
@@ -24,6 +25,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
     return identify(docs.select("doc_id", "held_out", "text"), fit_profiles(docs.where(~F.col("held_out")))).drop("text")
@@ -33,7 +38,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_secret_scan, op9_language_id, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_secret_scan, op7_pattern_packing, op9_language_id, op10_url_filters)}
 
 ORACLES = {
     "op1_exact_dedup": """
