@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tesserine.llm.common import prepare
 from tesserine.llm.exact_dedup import exact_dedup
+from tesserine.llm.fingerprints import fingerprint_pairs
 from tesserine.llm.language_id import fit_profiles, held_out, identify
 from tesserine.llm.packing import pack
 from tesserine.llm.secrets import scan_secrets, span_digest
@@ -21,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -38,7 +43,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_secret_scan, op7_pattern_packing, op9_language_id, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_fingerprints, op4_secret_scan, op7_pattern_packing, op9_language_id, op10_url_filters)}
 
 ORACLES = {
     "op1_exact_dedup": """
