@@ -10,6 +10,7 @@ from tesserine.llm.exact_dedup import exact_dedup
 from tesserine.llm.fingerprints import fingerprint_pairs
 from tesserine.llm.language_id import fit_profiles, held_out, identify
 from tesserine.llm.packing import pack
+from tesserine.llm.revisits import captures, resolve_revisits
 from tesserine.llm.secrets import scan_secrets, span_digest
 from tesserine.llm.url_filters import filter_urls
 
@@ -30,6 +31,13 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revisits among the captures that pages stand for; headers as sorted name=value text."""
+    out = resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    fields = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return out.withColumn("headers", F.array_join(fields, "; "))
+
+
 def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -43,9 +51,39 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_fingerprints, op4_secret_scan, op7_pattern_packing, op9_language_id, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_fingerprints, op4_secret_scan, op6_warc_revisits, op7_pattern_packing, op9_language_id, op10_url_filters)}
+
+_CAPTURES = """
+        r AS (SELECT page_id, k, page_id * 4 + k AS record_id, url, (page_id * 7919 + k * 350003) % 31536000 AS ts,
+                     k = 0 OR (k = 2 AND page_id % 5 = 0) AS is_full, md5(coalesce(html, '')) AS digest
+              FROM pages, (SELECT unnest([0, 1, 2, 3]) AS k)),
+        c AS (SELECT *, is_full AND page_id % 11 <> 3 AS ok,
+                     CASE WHEN page_id % 3 <> 1 THEN '"' || substr(digest, 1, 12) || CASE WHEN page_id % 7 = 0 AND k = 3 THEN 'x' ELSE '' END || '"' END AS tag,
+                     CASE WHEN page_id % 2 = 0 THEN (page_id % 1000)::VARCHAR END AS modified,
+                     regexp_replace(split_part(url, '#', 1), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM r),
+        p AS (SELECT *, split_part(bare, '?', 1) AS place,
+                     list_sort(list_filter(string_split(CASE WHEN contains(bare, '?') THEN substr(bare, position('?' IN bare) + 1) ELSE '' END, '&'),
+                                           lambda f: f <> '' AND NOT regexp_matches(lower(f), '^(utm_[a-z]*|gclid|fbclid|ref)(=|$)'))) AS fields FROM c),
+        keyed AS (SELECT *, regexp_replace(regexp_replace(lower(split_part(place, '/', 1)), ':(80|443)$', ''), '^www[0-9]*\\.', '')
+                     || regexp_replace(CASE WHEN contains(place, '/') THEN substr(place, position('/' IN place)) ELSE '' END, '/+$', '')
+                     || CASE WHEN len(fields) > 0 THEN '?' || array_to_string(fields, '&') ELSE '' END AS key FROM p)"""
 
 ORACLES = {
+    "op6_warc_revisits": f"""
+        WITH {_CAPTURES.strip()},
+        m AS (SELECT v.*, f.record_id AS refers_to, f.ts AS refers_ts, f.tag AS ftag, f.modified AS fmodified, f.digest AS fdigest, f.k AS fk
+              FROM keyed v LEFT JOIN keyed f ON f.ok AND f.key = v.key AND f.ts < v.ts WHERE NOT v.is_full
+              QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY f.ts DESC NULLS LAST, f.record_id DESC) = 1),
+        s AS (SELECT *, CASE WHEN refers_to IS NULL THEN 'missing'
+                             WHEN coalesce(tag = ftag, modified = fmodified) IS NULL THEN 'unchecked'
+                             WHEN coalesce(tag = ftag, modified = fmodified) THEN 'resolved' ELSE 'changed' END AS status FROM m)
+        SELECT record_id, key, ts, status, refers_to, refers_ts,
+               CASE WHEN status IN ('resolved', 'unchecked') THEN coalesce('W/' || tag, ftag) ELSE 'W/' || tag END AS etag,
+               CASE WHEN status IN ('resolved', 'unchecked')
+                    THEN 'content-length=0; content-type=' || fk || '; date=' || ts || '; expires=' || k
+                    ELSE 'Content-Length=0; Date=' || ts || '; Expires=' || k END AS headers,
+               CASE WHEN status IN ('resolved', 'unchecked') THEN fdigest END AS payload_digest
+        FROM s""",
     "op1_exact_dedup": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,

@@ -57,7 +57,8 @@ def fingerprint(text: str, *, words: int = WORDS, bins: int = BINS, bits: int =
     m = minhash(shingles(text.encode("utf-8", "surrogatepass").lower(), words), bins)
     if m is None:
         return b""
-    value = (mix(m) & np.uint64((1 << bits) - 1)).astype(np.uint8)
+    # the bin takes part in the hash whose bits are kept: two bins with one donor agree by chance independently
+    value = (mix(m + mix(np.arange(1, bins + 1, dtype=np.uint64))) & np.uint64((1 << bits) - 1)).astype(np.uint8)
     if bits == 8:
         return value.tobytes()
     return np.packbits(((value[:, None] >> np.arange(bits)[::-1]) & 1).astype(np.uint8)).tobytes()
