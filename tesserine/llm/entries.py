@@ -10,6 +10,7 @@ from tesserine.llm.exact_dedup import exact_dedup
 from tesserine.llm.fingerprints import fingerprint_pairs
 from tesserine.llm.language_id import fit_profiles, held_out, identify
 from tesserine.llm.packing import pack
+from tesserine.llm.pieces import encode_digest
 from tesserine.llm.revisits import captures, resolve_revisits
 from tesserine.llm.secrets import scan_secrets, span_digest
 from tesserine.llm.url_filters import filter_urls
@@ -31,6 +32,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op5_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The revisits among the captures that pages stand for; headers as sorted name=value text."""
     out = resolve_revisits(captures(table(spark, sf_dir, "pages")))
@@ -51,7 +56,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_fingerprints, op4_secret_scan, op6_warc_revisits, op7_pattern_packing, op9_language_id, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_fingerprints, op4_secret_scan, op5_piece_lattice, op6_warc_revisits, op7_pattern_packing, op9_language_id, op10_url_filters)}
 
 _CAPTURES = """
         r AS (SELECT page_id, k, page_id * 4 + k AS record_id, url, (page_id * 7919 + k * 350003) % 31536000 AS ts,
