@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tesserine.llm.common import prepare
 from tesserine.llm.exact_dedup import exact_dedup
 from tesserine.llm.fingerprints import fingerprint_pairs
+from tesserine.llm.jaccard_join import Threshold, jaccard_components
 from tesserine.llm.language_id import fit_profiles, held_out, identify
 from tesserine.llm.packing import pack
 from tesserine.llm.pieces import encode_digest
@@ -24,6 +25,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, threshold=Threshold(85, 100))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_pairs(table(spark, sf_dir, "documents"))
 
@@ -56,7 +61,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_fingerprints, op4_secret_scan, op5_piece_lattice, op6_warc_revisits, op7_pattern_packing, op9_language_id, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_fingerprints, op4_secret_scan, op5_piece_lattice, op6_warc_revisits, op7_pattern_packing, op9_language_id, op10_url_filters)}
 
 _CAPTURES = """
         r AS (SELECT page_id, k, page_id * 4 + k AS record_id, url, (page_id * 7919 + k * 350003) % 31536000 AS ts,
