@@ -14,6 +14,7 @@ from tesserine.llm.packing import pack
 from tesserine.llm.pieces import encode_digest
 from tesserine.llm.revisits import captures, resolve_revisits
 from tesserine.llm.secrets import scan_secrets, span_digest
+from tesserine.llm.substring_dedup import remove_repeats
 from tesserine.llm.url_filters import filter_urls
 
 
@@ -52,6 +53,10 @@ def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", held_out())
     return identify(docs.select("doc_id", "held_out", "text"), fit_profiles(docs.where(~F.col("held_out")))).drop("text")
@@ -61,7 +66,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_fingerprints, op4_secret_scan, op5_piece_lattice, op6_warc_revisits, op7_pattern_packing, op9_language_id, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_fingerprints, op4_secret_scan, op5_piece_lattice, op6_warc_revisits, op7_pattern_packing, op8_substring_dedup, op9_language_id, op10_url_filters)}
 
 _CAPTURES = """
         r AS (SELECT page_id, k, page_id * 4 + k AS record_id, url, (page_id * 7919 + k * 350003) % 31536000 AS ts,
