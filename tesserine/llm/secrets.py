@@ -247,28 +247,31 @@ def span_digest(scanned: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
     return scanned.select("doc_id", *counts, F.sha2(F.array_join(of_base, ","), 256).alias("base_sha256"), F.array_join(each, ",").alias("spans"))
 
 
-def redact(docs: DataFrame, scanned: DataFrame, mask: str = "[secret]") -> DataFrame:
-    """docs with each span replaced by a mask; overlapping spans become one. n_chars is counted anew.
+def masked(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
+    """The text with each union of overlapping spans replaced by the mask."""
+    out, at, end = [], 0, -1
+    for start, _, stop in spans:
+        if start >= end:
+            out += [text[max(at, end, 0) : start], mask]
+        end = max(end, stop)
+        at = end
+    return "".join(out) + text[max(end, 0) :]
 
-    Rows are paired by doc_id, which must be unique in scanned.
+
+def redact(docs: DataFrame, *, rules: tuple[Rule, ...] = BASE + MORE, mask: str = "[secret]") -> DataFrame:
+    """docs with the secrets in text masked, where they lie; overlapping spans become one mask.
+
+    A null text stays null. n_chars, if there, is counted anew where the text changed.
     """
-    found = scanned.where(F.size("kind") > 0).select(
-        F.col("doc_id").alias("_id"), F.arrays_zip(F.col("start"), F.col("end")).alias("_spans")
-    )
-    text = F.coalesce("text", F.lit(""))
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def step(acc, s):
-        at = F.greatest(acc["at"], s["start"])
-        gap = F.substr(text, (acc["at"] + 1).cast("int"), F.greatest(F.lit(0).cast("long"), s["start"] - acc["at"]).cast("int"))
-        new = F.when(s["end"] <= acc["at"], F.lit("")).when((s["start"] < acc["at"]), F.lit("")).otherwise(F.concat(gap, F.lit(mask)))
-        return F.struct(F.concat(acc["out"], new).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    rest = lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.aggregate("_spans", zero, step, rest))
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left").withColumn("text", clean)
-    if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return joined.select(*docs.columns)
 
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scanner = _scanner(tuple(rules))
+        for texts in batches:
+            found = scanner.scan([t or "" for t in texts])
+            yield pd.Series([masked(t, x, mask) if x else t for t, x in zip(texts, found, strict=True)])
 
+    out = docs.withColumn("_clean", F.pandas_udf(run, "string")(F.col("text").cast("string")))
+    if "n_chars" in docs.columns:
+        changed = ~F.col("_clean").eqNullSafe(F.col("text"))
+        out = out.withColumn("n_chars", F.when(changed, F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.col("_clean")).select(*docs.columns)
