@@ -1,8 +1,66 @@
-"""A corpus pipeline; its stages follow once their operators stand."""
+"""A corpus pipeline over `documents`: language ID, exact dedup, near dedup, secret scan, packing.
 
-STAGES: list = []
-ORACLE_SQL = None
+Each stage works on all documents that the stage before kept. The first four return the columns of documents; the last
+returns the pieces of the packed sequences (doc_id, piece, start, length, ids_crc32, sequence_id, offset).
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tesserine.llm.common import materialize, prepare
+from tesserine.llm.exact_dedup import drop_copies
+from tesserine.llm.jaccard_join import Threshold, one_of_each
+from tesserine.llm.language_id import UNDETERMINED, fit_profiles, identify
+from tesserine.llm.packing import pack
+from tesserine.llm.secrets import redact
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language go on; a null lang takes the predicted one. Texts without a letter are rejected."""
+    prepare(spark)
+    found = identify(docs, fit_profiles(docs)).where(F.col("lang_pred") != UNDETERMINED)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id goes on."""
+    prepare(spark)
+    return drop_copies(docs, keep="max")
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a likeness of 0.8 in five-word shingles the smallest id goes on."""
+    prepare(spark)
+    return one_of_each(docs, words=5, threshold=Threshold(80, 100))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents go on, with secrets masked."""
+    prepare(spark)
+    return redact(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of at most 1024 tokens."""
+    prepare(spark)
+    return pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_dedup),
+    ("jaccard_join", jaccard_join),
+    ("secret_scan", secret_scan),
+    ("packing", packing),
+]
+ORACLE_SQL = None  # learned profiles, near-duplicate groups and token ids are beyond SQL
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
