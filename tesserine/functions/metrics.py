@@ -21,6 +21,12 @@ def _ratio(a, b) -> Column:
     return F.try_divide(a, F.when(b != 0, b))
 
 
+def pearson(x: Column | str, y: Column | str) -> Column:
+    """Correlation as an aggregate; null, not an error, where a side doesn't vary."""
+    sd = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.try_divide(F.covar_pop(x, y), F.when(sd > 0, sd))
+
+
 def _beside(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
     """Two metric tables side by side; without a grouping each is one row."""
     return a.join(b, list(by), "left") if by else a.join(F.broadcast(b))
@@ -125,7 +131,7 @@ def spearman(df: DataFrame, by: Sequence[str], x: str, y: str, tie: str) -> Data
     """Correlation of ordinal ranks, ties by id; null where a side is constant."""
     ranked = row_numbers(row_numbers(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()), by, x, tie, "_rx"), by, y, tie, "_ry")
     flat = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
-    return ranked.groupBy(*by).agg(F.when(~flat, F.corr(F.col("_rx").cast("double"), F.col("_ry").cast("double"))).alias("spearman"))
+    return ranked.groupBy(*by).agg(F.when(~flat, pearson(F.col("_rx").cast("double"), F.col("_ry").cast("double"))).alias("spearman"))
 
 
 def regression_metrics(df: DataFrame, by: Sequence[str], pred: str = "pred", label: str = "label", tie: str = "patient_id") -> DataFrame:
@@ -133,14 +139,15 @@ def regression_metrics(df: DataFrame, by: Sequence[str], pred: str = "pred", lab
     rows = df.where(F.col(label).isNotNull() & ~F.isnan(label) & F.col(pred).isNotNull())
     e = F.col(pred) - F.col(label)
     flat = (F.min(pred) == F.max(pred)) | (F.min(label) == F.max(label))
+    slope = F.when(F.min(label) != F.max(label), _ratio(F.covar_pop(pred, label), F.var_pop(label)))
     out = rows.groupBy(*by).agg(
         F.count("*").alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         F.when(F.min(label) != F.max(label), 1 - _ratio(F.avg(e * e), F.var_pop(label))).alias("r2"),
-        F.when(~flat, F.corr(pred, label)).alias("pearson"),
-        F.when(F.min(label) != F.max(label), F.regr_slope(F.col(pred), F.col(label))).alias("slope"),
-        F.when(F.min(label) != F.max(label), F.regr_intercept(F.col(pred), F.col(label))).alias("intercept"),
+        F.when(~flat, pearson(pred, label)).alias("pearson"),
+        slope.alias("slope"),
+        (F.avg(pred) - slope * F.avg(label)).alias("intercept"),
     )
     return _beside(out, spearman(rows, by, pred, label, tie), by)
 
@@ -245,7 +252,7 @@ def gene_pearson(df: DataFrame, by: Sequence[str] = ("gene_id",)) -> DataFrame:
     """Pearson per gene over patients; null where a side is constant."""
     rows = df.where(F.col("pred").isNotNull() & F.col("label").isNotNull())
     flat = (F.min("pred") == F.max("pred")) | (F.min("label") == F.max("label"))
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.when(~flat, F.corr("pred", "label")).alias("pearson"), F.sqrt(F.avg((F.col("pred") - F.col("label")) ** 2)).alias("rmse"))
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.when(~flat, pearson("pred", "label")).alias("pearson"), F.sqrt(F.avg((F.col("pred") - F.col("label")) ** 2)).alias("rmse"))
 
 
 def gene_spearman(df: DataFrame, by: Sequence[str] = ("gene_id",)) -> DataFrame:
@@ -310,9 +317,9 @@ def beats_random(trained: DataFrame, random: DataFrame, by: Sequence[str] = (),
     both = trained.select(*by, "gene_id", "patient_id", "pred", "label").join(random.select(*by, "gene_id", "patient_id", F.col("pred").alias("base")), [*by, "gene_id", "patient_id"])
     per = both.groupBy(*by, "gene_id").agg(
         F.count("*").alias("n"),
-        F.corr("pred", "label").alias("r_trained"),
-        F.corr("base", "label").alias("r_random"),
-        F.corr("pred", "base").alias("r_between"),
+        pearson("pred", "label").alias("r_trained"),
+        pearson("base", "label").alias("r_random"),
+        pearson("pred", "base").alias("r_between"),
         F.sqrt(F.avg((F.col("pred") - F.col("label")) ** 2)).alias("rmse_trained"),
         F.sqrt(F.avg((F.col("base") - F.col("label")) ** 2)).alias("rmse_random"),
     )

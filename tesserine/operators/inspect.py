@@ -55,7 +55,7 @@ def rank_agreement(attention: DataFrame, model: Sequence[str] = _MODEL) -> DataF
     ranked = row_numbers(named, ["slide_id", "_m"], "logit", "tile_idx", "_r").select("slide_id", "tile_idx", "_m", "_r")
     other = ranked.select("slide_id", "tile_idx", F.col("_m").alias("_m2"), F.col("_r").alias("_r2"))
     pairs = ranked.join(other, ["slide_id", "tile_idx"]).where(F.col("_m") < F.col("_m2"))
-    each = pairs.groupBy("slide_id", "_m", "_m2").agg(F.count("*").alias("_n"), F.corr(F.col("_r").cast("double"), F.col("_r2").cast("double")).alias("_rho"))
+    each = pairs.groupBy("slide_id", "_m", "_m2").agg(F.count("*").alias("_n"), M.pearson(F.col("_r").cast("double"), F.col("_r2").cast("double")).alias("_rho"))
     found = each.where("_n >= 2").groupBy("slide_id").agg(F.percentile("_rho", 0.5).alias("agreement"))
     return attention.select("slide_id").distinct().join(found, "slide_id", "left")
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tesserine.functions.metrics import pearson
+from tesserine.operators.ordered import running_sums
 from tesserine.plans.contract import Binning
 
 
@@ -172,8 +174,6 @@ def recommend_bag(counts: DataFrame, ladder: Sequence[int], most_spread: float =
 def retained(counts: DataFrame) -> DataFrame:
     """The share of slides with at least as many tiles, at each count."""
     per = counts.groupBy("n_tiles").agg(F.count("*").alias("n"))
-    from tesserine.operators.ordered import running_sums
-
     total = counts.count()
     return running_sums(per.withColumn("_k", F.lit(0)), ["_k"], "n_tiles", ["n"], descending=True).select("n_tiles", (F.col("cum_n") / F.lit(total)).alias("retained"))
 
@@ -184,6 +184,6 @@ def regression_context(df: DataFrame, by: Sequence[str] = (), pred: str = "pred"
         F.least(F.min(label), F.min(pred)).alias("low"),
         F.greatest(F.max(label), F.max(pred)).alias("high"),
         F.percentile(F.abs(F.col(pred) - F.col(label)), 0.5).alias("median_abs_error"),
-        F.corr(pred, label).alias("pearson"),
+        pearson(pred, label).alias("pearson"),
         F.stddev_pop(label).alias("label_sd"),
     )
