@@ -30,7 +30,7 @@ class Encoder:
 
     def clear(self) -> None:
         self.at: dict[int, int] = {}
-        self.grams = np.empty((1024, self.dim), np.float32)
+        self.grams = np.empty((1024, self.dim), np.int8)
 
     def letter(self, c: int) -> np.ndarray:
         if c not in self.letters:
@@ -49,7 +49,7 @@ class Encoder:
             if row is None:
                 row = self.at[code] = len(self.at)
                 if row >= len(self.grams):
-                    self.grams = np.concatenate([self.grams, np.empty((len(self.grams), self.dim), np.float32)])
+                    self.grams = np.concatenate([self.grams, np.empty((len(self.grams), self.dim), np.int8)])
                 v = np.ones(self.dim, np.int8)
                 for place in range(self.n):
                     v = v * np.roll(self.letter((code >> (21 * place)) & 0x1FFFFF), place)
@@ -72,7 +72,7 @@ class Encoder:
         out = np.zeros(self.dim, np.float32)
         for a in range(0, len(codes), _ROWS // 4):
             part = self.rows(codes[a : a + _ROWS // 4])
-            out += counts[a : a + _ROWS // 4].astype(np.float32) @ self.grams[part]
+            out += counts[a : a + _ROWS // 4].astype(np.float32) @ self.grams[part].astype(np.float32)
         norm = float(np.sqrt((out.astype(np.float64) ** 2).sum()))
         return out / norm if norm else out
 

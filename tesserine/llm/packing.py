@@ -77,8 +77,11 @@ def enumerate_patterns(lengths: np.ndarray, limit: int, most: int = 3) -> np.nda
 
 
 def fit_repeats(patterns: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Non-negative least squares: repeats x that bring the patterns' lengths near the histogram, by multiplicative steps."""
+    """Non-negative least squares: repeats x that bring the patterns' lengths near the histogram, by multiplicative steps.
+
+    A length's error weighs as the length does, as long pieces are the hardest to place afterwards."""
     h = hist.astype(float)
+    w = np.arange(len(h)) / (len(h) - 1)
     h[0] = 0
     at = patterns.ravel()
 
@@ -88,10 +91,10 @@ def fit_repeats(patterns: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np
         return y
 
     fold = lambda y: y[patterns].sum(1)
-    target = fold(h)
+    target = fold(w * h)
     x = target / max(1.0, target.sum()) * h.sum() / 2
     for _ in range(rounds):
-        x *= target / np.maximum(fold(lengths(x)), 1e-12)
+        x *= target / np.maximum(fold(w * lengths(x)), 1e-12)
     return x
 
 
@@ -138,9 +141,9 @@ def plan(hist: np.ndarray, limit: int, most: int = 3) -> list[Pattern]:
         x = fit_repeats(patterns, left)
         want = np.floor(x + (np.arange(len(x)) * 0.6180339887498949) % 1).astype(np.int64)
         want[(patterns[:, 1] == 0)] = left[limit]
-        for k in np.argsort(-want, kind="stable"):
-            if want[k] < 1:
-                break
+        # patterns with the longest pieces draw first, then those of most repeats
+        order = np.lexsort((-want, -patterns.max(1)))
+        for k in order[want[order] > 0]:
             has = Counter(int(v) for v in patterns[k] if v)
             n = int(min(want[k], *(left[v] // q for v, q in has.items())))
             if n:

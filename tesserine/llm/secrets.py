@@ -142,10 +142,11 @@ def trigram_query(pattern: str) -> Query:
 class TrigramIndex:
     """Postings of the wanted trigrams over a block of texts."""
 
-    def __init__(self, texts: list[bytes], lut: np.ndarray, size: int):
-        data = np.frombuffer(b"\n".join(texts).lower(), np.uint8).astype(np.uint32)
+    def __init__(self, texts: list[bytes], kinds: np.ndarray, lut: np.ndarray, size: int):
+        data = kinds[np.frombuffer(b"\n".join(texts).lower(), np.uint8)]
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
-        found = lut[(data[:-2] << 16) | (data[1:-1] << 8) | data[2:]] if len(data) > 2 else np.empty(0, np.int16)
+        k = int(kinds.max()) + 1
+        found = lut[(data[:-2] * k + data[1:-1]) * k + data[2:]] if len(data) > 2 else np.empty(0, np.int16)
         at = np.flatnonzero(found)
         doc = np.searchsorted(starts, at, "right") - 1
         pairs = np.unique(found[at].astype(np.int64) * len(texts) + doc)
@@ -178,14 +179,20 @@ class Scanner:
         grams = sorted({g for q in queries for clause in q for alt in clause for g in alt})
         number = {g: k for k, g in enumerate(grams)}
         self.size = len(grams)
-        self.lut = np.zeros(1 << 24, np.int16)
+        # bytes in no trigram are one kind, so the table of trigrams is small
+        used = sorted({b for g in grams for b in g})
+        self.kinds = np.zeros(256, np.int32)
+        self.kinds[used] = np.arange(1, len(used) + 1)
+        base = len(used) + 1
+        self.lut = np.zeros(base**3, np.int16)
         for g, k in number.items():
-            self.lut[(g[0] << 16) | (g[1] << 8) | g[2]] = k + 1
+            a, b, c = (int(self.kinds[x]) for x in g)
+            self.lut[(a * base + b) * base + c] = k + 1
         self.queries = [[[[number[g] for g in alt] for alt in clause] for clause in q] for q in queries]
 
     def scan(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """For each text (start, rule number, end) by start, then rule."""
-        index = TrigramIndex([t.encode() for t in texts], self.lut, self.size)
+        index = TrigramIndex([t.encode("utf-8", "surrogatepass") for t in texts], self.kinds, self.lut, self.size)
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         for k, (rule, query) in enumerate(zip(self.rules, self.queries, strict=True)):
             for d in index.candidates(query):
