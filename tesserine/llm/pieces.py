@@ -175,7 +175,7 @@ class Block:
         self.cls = np.zeros(0x110000, np.uint8)
         for c, k in cls.items():
             self.cls[ord(c)] = k
-        self.next = np.zeros((len(nodes), self.FREQUENT + 1), np.int32)
+        self.next = np.zeros((len(nodes), self.FREQUENT + 1), np.uint16 if len(nodes) < 1 << 16 else np.int32)
         rare = []
         for key, node in nodes.items():
             if key:
@@ -198,7 +198,7 @@ class Block:
 
     def _step(self, node: np.ndarray, point: np.ndarray) -> np.ndarray:
         c = self.cls[point]
-        out = self.next[node, c]
+        out = self.next[node, c].astype(np.int32)
         odd = np.flatnonzero(c == 0)
         if len(odd):
             key = (node[odd].astype(np.int64) << 21) | point[odd]
