@@ -12,16 +12,26 @@ from pyspark.sql import functions as F
 from tesserine.llm.common import materialize, prepare
 from tesserine.llm.exact_dedup import drop_copies
 from tesserine.llm.jaccard_join import Threshold, one_of_each
-from tesserine.llm.language_id import UNDETERMINED, fit_profiles, identify
+from tesserine.llm.language_id import evidence, fit_profiles, least_scores, weigh
 from tesserine.llm.packing import pack
 from tesserine.llm.secrets import redact
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language go on; a null lang takes the predicted one. Texts without a letter are rejected."""
+    """Texts in a learned language go on, under the language that they are in.
+
+    The cosine with the nearest prototype decides: it must reach the bound that `least_scores` takes from all labelled
+    rows with as many distinct n-grams. A lang whose own cosine stays below the bound gives way to the predicted one,
+    which a null lang takes too. Texts without a letter are rejected. Where no row has a lang, nothing is learned:
+    every text with a letter goes on, under "und".
+    """
     prepare(spark)
-    found = identify(docs, fit_profiles(docs)).where(F.col("lang_pred") != UNDETERMINED)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    seen = materialize(weigh(docs, fit_profiles(docs)), "languages")
+    s = F.col("_seen")
+    least = F.element_at(F.array(*[F.lit(b).cast("double") for b in least_scores(seen)]), evidence(s["grams"]) + 1)
+    found = seen.where((s["grams"] > 0) & (least.isNull() | (s["score"] >= least)))
+    stays = least.isNull() | s["own"].isNull() | (s["own"] >= least)
+    return found.withColumn("lang", F.coalesce(F.when(stays, F.col("lang")), s["lang_pred"])).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,8 +57,8 @@ class Encoder:
             out[k] = row
         return out
 
-    def encode(self, text: str | None) -> np.ndarray | None:
-        """The unit vector of a text; None if it has no letter. Runs of other characters count as one space."""
+    def ngrams(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+        """A text's distinct n-grams and their counts; None if it has no letter. Runs of other characters count as one space."""
         points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         letter = _is_letter()[points]
         if not letter.any():
@@ -68,7 +68,15 @@ class Encoder:
         code = np.zeros(max(0, len(points) - self.n + 1), np.int64)
         for place in range(self.n):
             code = (code << 21) | points[place : place + len(code)]
-        codes, counts = np.unique(code, return_counts=True)
+        return np.unique(code, return_counts=True)
+
+    def encode(self, text: str | None) -> np.ndarray | None:
+        """The unit vector of a text; None if it has no letter."""
+        found = self.ngrams(text)
+        return None if found is None else self.bundle(*found)
+
+    def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The unit vector of n-grams with counts."""
         out = np.zeros(self.dim, np.float32)
         for a in range(0, len(codes), _ROWS // 4):
             part = self.rows(codes[a : a + _ROWS // 4])
@@ -140,6 +148,65 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 102
     return out.select(*kept, F.col("_pred.lang_pred").alias("lang_pred"), F.col("_pred.score").alias("score"))
 
 
+def weigh(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 1024, n: int = 3, seed: int = 7) -> DataFrame:
+    """docs' columns and `_seen`: lang_pred and score as `identify` gives them, own (the cosine with the prototype of
+    the row's lang, null without one) and grams (how many distinct n-grams the text has, 0 without a letter)."""
+    names = sorted(profiles)
+    at = {k: i for i, k in enumerate(names)}
+    matrix = np.array([profiles[k] for k in names], np.float64).reshape(len(names), dim)
+
+    def predict(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        enc = encoder(dim, n, seed)
+        for texts, langs in batches:
+            rows = []
+            for text, lang in zip(texts, langs, strict=True):
+                found = enc.ngrams(text)
+                if found is None or not names:
+                    rows.append((UNDETERMINED, 0.0, None, 0 if found is None else len(found[0])))
+                else:
+                    cos = np.clip(matrix @ enc.bundle(*found).astype(np.float64), 0.0, 1.0)
+                    k = int(np.argmax(cos))
+                    rows.append((names[k], float(cos[k]), float(cos[at[lang]]) if lang in at else None, len(found[0])))
+            out = pd.DataFrame(rows, columns=["lang_pred", "score", "own", "grams"])
+            yield out.astype({"own": "float64"})
+
+    udf = F.pandas_udf(predict, "lang_pred string, score double, own double, grams long")
+    return docs.withColumn("_seen", udf(F.col("text").cast("string"), F.col("lang").cast("string")))
+
+
+def least_scores(seen: DataFrame, *, share: float = 0.3, least: int = 5) -> list[float | None]:
+    """By class of evidence (the whole part of log2 of the distinct n-grams) the least cosine of a text in a learned language.
+
+    It is `share` of the median, to a thousandth, over all rows whose lang is the predicted one. A text's cosine grows
+    with its distinct n-grams, whatever its length, so each class has its own bound; a class without such rows takes
+    that of the next smaller one. Classes below `least` have none (null): their texts say too little to part a clean
+    one from noise. seen comes from `weigh`; at most a thousand counts a class reach the driver.
+    """
+    s = F.col("_seen")
+    agreed = seen.where((s["grams"] > 0) & (F.col("lang").cast("string") == s["lang_pred"]))
+    cells = agreed.groupBy(evidence(s["grams"]).alias("cls"), F.round(s["score"] * 1000).cast("int").alias("cell")).agg(F.count("*").alias("n"))
+    counts: dict[int, list[tuple[int, int]]] = {}
+    for cls, cell, n in cells.collect():
+        counts.setdefault(cls, []).append((cell, n))
+    out: list[float | None] = []
+    for cls in range(32):
+        bound = out[-1] if out else None
+        if cls >= least and cls in counts:
+            left = sum(n for _, n in counts[cls]) / 2
+            for cell, n in sorted(counts[cls]):
+                left -= n
+                if left <= 0:
+                    bound = share * cell / 1000
+                    break
+        out.append(bound)
+    return out
+
+
+def evidence(grams):
+    """The class of a text with so many distinct n-grams."""
+    return F.least(F.floor(F.log2(F.greatest(grams, F.lit(1)))), F.lit(31)).cast("int")
+
+
 def held_out(doc_id="doc_id"):
     """Whether crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")), F.lit(4)) == 2, F.lit(False))

@@ -165,3 +165,23 @@ def test_pipeline(spark):
     packed = p.packing(spark, seen["secret_scan"], SMALL)
     assert ids(packed) == ids(seen["secret_scan"])
     assert p.run(spark, SMALL).count() > 0 and [n for n, _ in p.STAGES] == ["language_id", "exact_dedup", "jaccard_join", "secret_scan", "packing"]
+
+
+def test_language_stage_rejects_by_score(spark):
+    import corpus_pipeline as p
+
+    r = random.Random(3)
+    table = spark.read.parquet(f"{SMALL}/documents.parquet").cache()
+    junk = "".join(r.choice("qwertyuiopasdfghjklzxcvbnm ") for _ in range(3000))
+    other = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью. " * 3
+    wrong = table.where("lang = 'en' and n_chars > 2000").orderBy("doc_id").first().text
+    extra = spark.createDataFrame([(20_001, junk, "en", None, None), (20_002, other, "en", None, None), (20_003, wrong, "es", None, None), (20_004, wrong, None, None, None)], table.schema)
+    got = {x.doc_id: x.lang for x in p.language_id(spark, table.unionByName(extra), SMALL).collect()}
+    assert got == {x.doc_id: x.lang for x in table.collect()} | {20_003: "en", 20_004: "en"}
+
+
+def test_language_stage_without_labels_keeps_lettered_texts(spark, docs):
+    import corpus_pipeline as p
+
+    got = p.language_id(spark, docs([(1, "the of and"), (2, "123"), (3, None), (4, "да")]), SMALL).collect()
+    assert {x.doc_id: x.lang for x in got} == {1: "und", 4: "und"}
