@@ -282,19 +282,21 @@ def score_predictions(preds: DataFrame, objective: str, value: str, key: str | N
 
 def run_trial(items: DataFrame, patients: DataFrame, recipe: Recipe, arm: str, field: str, seed: int, rep: int, git_sha: str) -> DataFrame:
     """Draw, fit, score: the row of one trial (X12). Reps of a seed share its split and differ in their training seed,
-    which orders the rows that the fit sees."""
+    which orders the rows that the fit sees: all of the drawn fit set. n_declared counts the drawn test patients, n_test
+    those that got a score."""
     from tesserine.operators.splits import draw, split_digest
 
     split = draw(patients.withColumn("field", F.lit(field)), seed, 0.3)
     part = items.join(split.select("patient_id", "category"), "patient_id")
     ts = L.train_seed(F.lit(arm), F.lit(seed), F.lit(rep))
-    train = part.where(F.col("category") == "fit").where(F.pmod(F.xxhash64(ts, "patient_id"), F.lit(10)) != 0)
+    train = part.where(F.col("category") == "fit").orderBy(F.xxhash64(ts, "patient_id"), "patient_id")
     test = Task(recipe).fit(train)(part.where(F.col("category") == "test"))
     got = score_predictions(test, recipe.objective, Task(recipe).value)
     digest = split_digest(split).select("split_hash")
-    row = got.join(F.broadcast(digest))  # one row each
+    declared = split.where(F.col("category") == "test").agg(F.countDistinct("patient_id").cast("int").alias("n_declared"))
+    row = got.join(F.broadcast(digest)).join(F.broadcast(declared))  # one row each
     return row.select(
         F.lit(arm).alias("arm"), F.lit(field).alias("field"), F.lit(seed).alias("seed"), F.lit(rep).alias("rep"), "metric",
-        F.lit(M.resolve_metric(recipe.objective)[0]).alias("metric_key"), F.col("n_patients").cast("int").alias("n_declared"), F.col("n_patients").cast("int").alias("n_test"),
+        F.lit(M.resolve_metric(recipe.objective)[0]).alias("metric_key"), "n_declared", F.col("n_patients").cast("int").alias("n_test"),
         "split_hash", ts.alias("train_seed"), F.lit(git_sha).alias("git_sha"),
     )
