@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -22,14 +24,26 @@ Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((length, how many), ...) a
 @lru_cache(2)
 def byte_bpe(ranks: str):
     """The byte-level BPE of a rank file. Its ids are those of the same vocabulary's JSON file in `tokenizers`, at a
-    fourth of the time; a test compares them."""
+    fourth of the time; a test compares them. The JSON file beside the rank file, if there is one, lists added tokens:
+    these are the special tokens, which `ids_of` takes whole as `tokenizers` does."""
     import public_tokenizers
     import tiktoken
 
     path = ranks if "/" in ranks else public_tokenizers.path(ranks)
     with open(path, "rb") as f:
         table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    added, beside = [], path.removesuffix(".tiktoken") + ".json"
+    if os.path.exists(beside):
+        with open(beside, encoding="utf-8") as f:
+            added = json.load(f).get("added_tokens") or []
+    if any(x.get(k) for x in added for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{beside} has added tokens that are not plain literals")
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={x["content"]: x["id"] for x in added})
+
+
+def ids_of(bpe, text: str | None) -> list[int]:
+    """A text's ids; it is split at the added tokens first, and each of these is one id."""
+    return bpe.encode(text or "", allowed_special="all", disallowed_special=())
 
 
 def cut(n: int, limit: int) -> list[tuple[int, int]]:
@@ -46,7 +60,7 @@ def pieces_of(docs: DataFrame, *, limit: int, end_id: int, ranks: str) -> DataFr
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids = np.array(bpe.encode_ordinary(text or "") + [end_id], "<u4")
+                ids = np.array(ids_of(bpe, text) + [end_id], "<u4")
                 for piece, (start, length) in enumerate(cut(len(ids), limit)):
                     rows.append((doc_id, piece, start, length, zlib.crc32(ids[start : start + length].tobytes()), seen[length]))
                     seen[length] += 1

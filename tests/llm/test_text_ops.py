@@ -11,7 +11,7 @@ import pytest
 from tesserine.llm import pieces
 from tesserine.llm.fingerprints import edit, fingerprint, fingerprint_pairs, likeness
 from tesserine.llm.language_id import fit_profiles, held_out, identify
-from tesserine.llm.packing import best_fit, byte_bpe, cut, pack, plan, slots
+from tesserine.llm.packing import best_fit, byte_bpe, cut, ids_of, pack, plan, slots
 from tesserine.llm.secrets import BASE, MORE, Rule, redact, scan_secrets, span_digest, trigram_query
 
 SF = "/root/testdata/sf0.01"
@@ -212,6 +212,19 @@ def test_rank_file_gives_the_ids_of_the_json_vocabulary():
     assert [tok.encode(t, add_special_tokens=False).ids for t in texts] == [bpe.encode_ordinary(t) for t in texts]
 
 
+def test_added_tokens_inside_texts_are_one_id(docs):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok, bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), byte_bpe("byte_bpe_50k.tiktoken")
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}b", f"a  {end}  b", f"{end}{end}\n\n {end} x", f"<|endoftext{end}|>", "<|endoftext|", f" {end.upper()} it's", f"日本{end}'ll 12"]
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids_of(bpe, t) for t in texts] == want
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in pack(docs(list(enumerate(texts)))).collect()}
+    assert got == {i: (len(w) + 1, zlib.crc32(np.array([*w, 2], "<u4").tobytes())) for i, w in enumerate(want)}
+
+
 def test_cut():
     assert cut(10, 10) == [(0, 10)] and cut(11, 10) == [(0, 1), (1, 10)] and cut(20, 10) == [(0, 10), (10, 10)] and cut(1, 10) == [(0, 1)]
 
