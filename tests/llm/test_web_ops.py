@@ -51,6 +51,15 @@ def test_url_edges(spark):
     assert sorted(r.verdict for r in got) == ["allow"] * 3
 
 
+def test_mined_rules_say_more_than_where_listed_rules_apply(spark):
+    rows = [f"https://{h}/{p}/{i}" for h, p in (("example.net", "es"), ("example.net", "fr"), ("example.com", "en"), ("example.com", "de")) for i in range(50)]
+    rows += [f"http://{h}/{i}?track=1" for h in ("a.net/es", "b.net/fr", "example.com/en") for i in range(20)]
+    clean = ["https://example.net/de/1", "https://example.org/en/1", "https://b.org/es/1", "https://example.net/en/1"]
+    frame = spark.createDataFrame(list(enumerate(rows + clean + ["https://b.org/1?track=2"])), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in filter_urls(frame).collect()}
+    assert [got[len(rows) + k] for k in range(5)] == ["allow"] * 4 + ["block"]
+
+
 def test_mined_rules_match_as_sets(spark):
     r = random.Random(1)
     baskets = [([f"t{r.randrange(6)}" for _ in range(4)], None) for _ in range(200)]
