@@ -18,6 +18,48 @@ from tesserine.llm.common import _spans_hash, mix
 SPACE = "▁"
 
 
+class Suffix:
+    """A suffix of a segmentation: its first piece and a link to the suffix after it, so a queue grows by one link an entry.
+
+    Suffixes are ordered as the tuples of their pieces' ids from the end. A second link further down, to the place that
+    the skew binary numbers give, finds where two of them part in logarithmic time.
+    """
+
+    __slots__ = ("after", "jump", "depth", "ids", "at", "done", "lost")
+
+    def __init__(self, after: Suffix | None, ids: tuple[int, ...], at: int, done: float, lost: float):
+        self.after, self.ids, self.at, self.done, self.lost = after, ids, at, done, lost
+        if after is None:
+            self.depth, self.jump = 0, self
+        else:
+            self.depth = after.depth + 1
+            j = after.jump
+            self.jump = j.jump if after.depth - j.depth == j.depth - j.jump.depth else after
+
+    def ancestor(self, depth: int) -> Suffix:
+        x = self
+        while x.depth > depth:
+            x = x.jump if x.jump.depth >= depth else x.after
+        return x
+
+    def __lt__(self, other: Suffix) -> bool:
+        depth = min(self.depth, other.depth)
+        a, b = self.ancestor(depth), other.ancestor(depth)
+        if a is b:
+            return self.depth < other.depth
+        while a.after is not b.after:
+            a, b = (a.after, b.after) if a.jump is b.jump else (a.jump, b.jump)
+        return a.ids < b.ids
+
+    def path(self) -> tuple[int, ...]:
+        out: list[int] = []
+        x = self
+        while x.after is not None:
+            out += x.ids
+            x = x.after
+        return tuple(out)
+
+
 class Lattice:
     """A piece vocabulary with scores and the searches over the lattices that it spans.
 
@@ -72,22 +114,26 @@ class Lattice:
     def n_best(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best segmentations, best first; ties go to the smaller ids from the end.
 
-        Forward: the best score of each prefix (Viterbi). Backward: from the end, an entry's priority is the score of
-        its suffix plus the best score of the prefix left, which is exact, so entries leave the queue in order.
+        Forward: the best score of each prefix (Viterbi). Backward: from the end, an entry's priority is what the score
+        of its suffix and the best score of the prefix left lose, which is exact, so entries leave the queue in order.
+        Entries are linked, so memory grows with the length of the chunk.
         """
         into = self.edges(chunk)
         best = [0.0] + [-math.inf] * len(chunk)
         for j in range(1, len(chunk) + 1):
             best[j] = max(best[i] + s for i, s, _ in into[j])
-        queue: list = [(-best[-1], (), len(chunk), 0.0)]
+        # what a suffix loses against the best is a sum of its pieces' losses: 0 along a best path, however long
+        queue: list[tuple[float, Suffix]] = [(0.0, Suffix(None, (), len(chunk), 0.0, 0.0))]
         out: list[tuple[float, tuple[int, ...]]] = []
         while queue and len(out) < n:
-            _, suffix, at, done = heapq.heappop(queue)
+            _, suffix = heapq.heappop(queue)
+            at = suffix.at
             if at == 0:
-                out.append((done, tuple(x for part in reversed(suffix) for x in part)))
+                out.append((suffix.done, suffix.path()))
                 continue
             for i, s, ids in into[at]:
-                heapq.heappush(queue, (-round(done + s + best[i], 9), suffix + (ids,), i, done + s))
+                lost = suffix.lost + (best[at] - (best[i] + s))
+                heapq.heappush(queue, (round(lost, 9), Suffix(suffix, ids, i, suffix.done + s, lost)))
         return out
 
     def chunk_best(self, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -96,7 +142,9 @@ class Lattice:
         if found is None or len(found[0]) != 0 and found[1] < n:
             if len(self.cache) >= 400_000:
                 self.cache.clear()
-            found = self.cache[key] = (self.n_best(chunk, n), n)
+            found = (self.n_best(chunk, n), n)
+            if len(chunk) <= Block.LONG:
+                self.cache[key] = found
         return found[0]
 
     @staticmethod

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -170,6 +171,32 @@ def test_block_search_agrees_with_single_search():
         assert single[0][1] == found[0][1].tolist()
 
 
+def test_long_text_without_spaces():
+    lat = pieces.lattice("piece_bpe_32k.model")
+    r = random.Random(8)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/\n") for _ in range(200_000))
+    tracemalloc.start()
+    found = pieces.block_encoder("piece_bpe_32k.model").encode([text], 3)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 30
+    assert len({tuple(ids.tolist()) for _, ids, _ in found}) == 3 and all(good and lat.decode(ids.tolist()) == text for _, ids, good in found)
+    assert found[0][0] >= found[1][0] >= found[2][0]
+
+
+def test_suffixes_order_as_tuples():
+    r = random.Random(9)
+    made = [(pieces.Suffix(None, (), 0, 0.0, 0.0), ())]
+    for _ in range(300):
+        at, t = r.choice(made[-5:])
+        ids = (r.randrange(50),)
+        if t + (ids,) not in {x for _, x in made}:
+            made.append((pieces.Suffix(at, ids, 0, 0.0, 0.0), t + (ids,)))
+    for a, x in made:
+        assert a.path() == tuple(i for part in reversed(x) for i in part)
+        assert all((a < b) == (x < y) for b, y in r.sample(made, 40))
+
+
 def test_encode_pieces(docs):
     rows = docs([*enumerate(TEXTS), (50, None), (51, "a" + pieces.SPACE + "b"), (1, "a"), (52, "long " * 20_000)])
     got = pieces.encode_pieces(rows, n=2).collect()
