@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+import weakref
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +26,57 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share. Where the session names none, a temporary one serves a local master;
+    on a cluster other machines couldn't read it, so that is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tesserine-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends here, a lost executor loses nothing."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `materialize` that nothing will read any more."""
+    for df in tables:
+        path = _WRITTEN.pop(df, None)
+        if path:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+
+def release() -> None:
+    """Give a Python worker's free memory back: idle workers stay beside those of the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def trimmed(run: Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """run, whose worker releases its memory at the end of a task."""
+
+    def all_of(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from run(batches)
+        release()
+
+    return all_of
 
 
 def ascii_lower(text: Column) -> Column:

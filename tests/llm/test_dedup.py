@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserine.llm.exact_dedup import drop_copies, exact_dedup
-from tesserine.llm.jaccard_join import Threshold, jaccard_components, one_of_each
+from tesserine.llm.jaccard_join import Regions, Threshold, _short_lists, jaccard_components, one_of_each
 from tesserine.llm.substring_dedup import remove_repeats
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -92,12 +92,37 @@ def test_exact_dedup_edges(docs):
 @pytest.mark.parametrize("least", [16, 3])
 @pytest.mark.parametrize(("k", "num", "den"), [(4, 85, 100), (2, 80, 100)])
 def test_jaccard_join(docs, least, k, num, den):
-    """With a low `least` the regions of frequent shingles do most of the work."""
+    """With a low `least` the regions of the crowded documents do most of the work."""
     rows = [(i, t) for i, t in corpus(2) if len(t or "") < 5000]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs(rows), words=k, threshold=Threshold(num, den), least=least, part_rows=8).collect()}
+    plan = Regions(leaf=4, pivots=4, part=8)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs(rows), words=k, threshold=Threshold(num, den), least=least, plan=plan).collect()}
     assert got == brute_components(rows, k, num, den)
 
 
+def chains(seed, groups=6, size=25):
+    """Texts that drift word by word, so that likes of likes are not alike; some share a passage only."""
+    r = random.Random(seed)
+    rows, passage = [], [f"p{k}" for k in range(30)]
+    for g in range(groups):
+        words = [f"g{g}_{k}" for k in range(60)]
+        for k in range(size):
+            rows.append((len(rows), " ".join(words)))
+            for _ in range(r.randrange(3)):
+                words[r.randrange(60)] = f"x{r.randrange(50)}"
+    for k in range(groups * 5):
+        rows.append((len(rows), " ".join(passage + [f"y{r.randrange(9)}" for _ in range(k % 7)])))
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("plan", [Regions(leaf=8, pivots=6, part=16), Regions(leaf=3, pivots=2, part=5, levels=1), Regions(leaf=16, pivots=64, part=10, levels=4), Regions(weight=300)])
+def test_jaccard_join_of_chains(docs, plan):
+    """Pivots, regions, windows, far points and pairs of blocks, with regions of few points."""
+    rows = chains(plan.leaf)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_components(docs(rows), words=2, threshold=Threshold(85, 100), least=3, plan=plan).collect()}
+    assert got == brute_components(rows, 2, 85, 100)
+
+
 def test_jaccard_join_of_one_large_cluster(docs):
     """Near copies of one text, with documents between the cluster and others that link with neither."""
     r = random.Random(5)
@@ -109,10 +134,32 @@ def test_jaccard_join_of_one_large_cluster(docs):
             words[r.randrange(60)] = f"x{r.randrange(1000)}"
         rows.append((i, " ".join(words)))
     rows += [(100 + i, " ".join(base[: 40 + i] + [f"y{i}_{k}" for k in range(10)])) for i in range(12)]
-    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_components(docs(rows), words=2, threshold=Threshold(85, 100), least=4, part_rows=16).collect()}
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard_components(docs(rows), words=2, threshold=Threshold(85, 100), least=4, plan=Regions(leaf=16, pivots=8, part=16)).collect()}
     assert got == brute_components(rows, 2, 85, 100)
 
 
+def test_posting_lists_long_and_short():
+    """Runs that span batches: short lists give pairs, long ones their points, whatever the batches."""
+    import pandas as pd
+
+    r = random.Random(3)
+    rows = sorted((s, r.randrange(90, 110), x) for s, m in enumerate((1, 2, 5, 9, 40, 3, 8, 200, 2)) for x in range(m))
+    want = {("long", s, x) for s, m in enumerate((1, 2, 5, 9, 40, 3, 8, 200, 2)) if m >= 8 for x in range(m)}
+    by = {}
+    for s, n, x in rows:
+        by.setdefault(s, []).append((n, x))
+    for list_ in by.values():
+        if len(list_) < 8:
+            want |= {("pair", *sorted((x, y))) for n, x in list_ for m, y in list_ if x < y and 100 * min(n, m) >= 85 * max(n, m)}
+    for step in (1, 3, 17, 1000):
+        frames = [pd.DataFrame(rows[i : i + step], columns=["s", "n", "x"]) for i in range(0, len(rows), step)]
+        got = set()
+        for out in _short_lists(8, Threshold(85, 100), hold=20)(iter(frames)):
+            for a, b, s in out.itertuples(index=False):
+                got.add(("long", s, a) if pd.isna(b) else ("pair", a, b))
+        assert got == want
+
+
 def test_jaccard_join_edges(docs):
     assert jaccard_components(docs([])).count() == 0
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard_components(docs([(None, "a b"), (3, "A  b"), (2, "a b"), (4, None)])).collect())
