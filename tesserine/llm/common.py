@@ -95,8 +95,9 @@ def join_hot(rows: DataFrame, dim: DataFrame, keys: list[str], weight: str, tota
     repeated.
     """
     least = max(1, total // HOT_SHARE)
+    hashed = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]  # maps can't be hashed
     hot = dim.where(F.col(weight) > least).select(*keys, F.lit(True).alias("_hot"))
-    dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*[c for c in rows.columns]), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    dealt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     left = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", dealt).drop("_hot")
     each = F.when(F.col(weight) > least, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = dim.withColumn("_salt", F.explode(each))

@@ -25,7 +25,16 @@ def exact_dedup(docs: DataFrame, *, keep: str = "min", hash_of=content_hash) ->
     hashes collide form two groups. Copies are merged before the shuffle, so a group of any size sends one row a task.
     Decisions go back by (hash, sha256), dealt by join_hot.
     """
-    base = docs.select("doc_id", ascii_lower(F.coalesce("text", F.lit(""))).alias("_text")).select(
+    base, classes = _classes(docs, keep, hash_of)
+    total = classes.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
+    rows = base.select("doc_id", "_hash", F.sha2("_text", 256).alias("text_sha256"))
+    out = join_hot(rows, classes, ["_hash", "text_sha256"], "group_size", total)
+    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+
+
+def _classes(docs: DataFrame, keep: str, hash_of=content_hash) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, _text, _hash) of all rows; (_hash, text_sha256, keep_id, group_size) of all distinct texts."""
+    base = docs.select("doc_id", ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_text")).select(
         "doc_id", "_text", hash_of(F.col("_text")).alias("_hash")
     )
     first = {"min": F.min, "max": F.max}[keep]
@@ -36,16 +45,22 @@ def exact_dedup(docs: DataFrame, *, keep: str = "min", hash_of=content_hash) ->
         F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"), F.count("*").alias("_texts")
     )
     alone = F.when(F.col("_texts") > 1, F.raise_error(F.lit("two texts share both hashes"))).otherwise(F.col("group_size"))
-    classes = materialize(classes.select("_hash", "text_sha256", "keep_id", alone.cast("long").alias("group_size")), "exact")
-    total = classes.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
-    rows = base.select("doc_id", "_hash", F.sha2("_text", 256).alias("text_sha256"))
-    out = join_hot(rows, classes, ["_hash", "text_sha256"], "group_size", total)
-    return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return base, materialize(classes.select("_hash", "text_sha256", "keep_id", alone.cast("long").alias("group_size")), "exact")
 
 
 def drop_copies(docs: DataFrame, *, keep: str = "max") -> DataFrame:
-    """The rows of docs that stay, with their columns; of rows alike in doc_id and text, one stays."""
-    kept = exact_dedup(docs, keep=keep).where("kept").select("doc_id").distinct()
-    alike = docs.dropDuplicates(["doc_id", "text"])
-    ids = alike.where(F.col("doc_id").isNotNull()).join(kept.where(F.col("doc_id").isNotNull()), "doc_id", "left_semi")
-    return ids.unionByName(alike.where(F.col("doc_id").isNull()))
+    """The rows of docs that stay, with their columns: of equal texts the one with the smallest (largest) doc_id.
+
+    Rows alike in doc_id and normalised text are one document: the row with the smallest text as it stands stays (a
+    null is smaller than any other; of rows with one text, any). A null doc_id counts as the smallest. An empty table
+    gives an empty result.
+    """
+    _, classes = _classes(docs, keep)
+    text = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = docs.withColumn("_hash", content_hash(text)).withColumn("_sha", F.sha2(text, 256))
+    stays = classes.select(F.col("_hash").alias("_h"), F.col("text_sha256").alias("_s"), F.col("keep_id").alias("_keep"), F.col("group_size").alias("_size"))
+    kept = rows.join(stays, (F.col("_hash") == F.col("_h")) & (F.col("_sha") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_keep")))
+    alone = kept.where(F.col("_size") == 1).select(*docs.columns)
+    full = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    several = kept.where(F.col("_size") > 1).groupBy("_hash", "_sha").agg(F.min_by(full, F.struct(F.col("text").cast("string"))).alias("_row"))
+    return alone.unionByName(several.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserine.llm.common import release, trimmed
+
 UNDETERMINED = "und"
 _ROWS = 16_384  # n-gram vectors that a worker keeps
 
@@ -107,7 +109,7 @@ def fit_profiles(labelled: DataFrame, *, dim: int = 1024, n: int = 3, seed: int
             yield pd.DataFrame({"lang": lang, "place": np.arange(dim, dtype=np.int32), "value": np.round(v, 6)})
 
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    parts = rows.mapInPandas(partial, "lang string, place int, value double")
+    parts = rows.mapInPandas(trimmed(partial), "lang string, place int, value double")
     # decimals add up the same in any order
     sums = parts.groupBy("lang", "place").agg(F.sum(F.col("value").cast("decimal(28,6)")).cast("double").alias("value"))
     out: dict[str, np.ndarray] = {}
@@ -141,6 +143,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 102
                     best.append(names[k])
                     score.append(float(min(1.0, max(0.0, cos[k]))))
             yield pd.DataFrame({"lang_pred": best, "score": score})
+        release()
 
     udf = F.pandas_udf(predict, "lang_pred string, score double")
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "_pred")]
@@ -169,6 +172,8 @@ def weigh(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 1024,
                     rows.append((names[k], float(cos[k]), float(cos[at[lang]]) if lang in at else None, len(found[0])))
             out = pd.DataFrame(rows, columns=["lang_pred", "score", "own", "grams"])
             yield out.astype({"own": "float64"})
+        enc.clear()
+        release()
 
     udf = F.pandas_udf(predict, "lang_pred string, score double, own double, grams long")
     return docs.withColumn("_seen", udf(F.col("text").cast("string"), F.col("lang").cast("string")))

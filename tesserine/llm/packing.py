@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import materialize
+from tesserine.llm.common import materialize, trimmed
 
 Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((length, how many), ...) and the number of sequences like this
 
@@ -68,7 +68,7 @@ def pieces_of(docs: DataFrame, *, limit: int, end_id: int, ranks: str) -> DataFr
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(
-        encode, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, _nth long"
+        trimmed(encode), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long, _nth long"
     )
     return out.withColumn("_task", F.spark_partition_id())
 

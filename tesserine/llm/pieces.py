@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import _spans_hash, mix
+from tesserine.llm.common import _spans_hash, mix, trimmed
 
 SPACE = "▁"
 
@@ -494,7 +494,7 @@ def encode_pieces(docs: DataFrame, *, n: int = 4, model: str = "piece_bpe_32k.mo
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(run, f"doc_id {id_type}, rank int, score double, ids array<int>, decoded string")
+    return rows.mapInPandas(trimmed(run), f"doc_id {id_type}, rank int, score double, ids array<int>, decoded string")
 
 
 def encode_digest(docs: DataFrame, *, n: int = 4, model: str = "piece_bpe_32k.model", block: int = 1 << 20) -> DataFrame:
@@ -518,4 +518,4 @@ def encode_digest(docs: DataFrame, *, n: int = 4, model: str = "piece_bpe_32k.mo
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(run, f"doc_id {id_type}, n_pieces long, score double, gap double, n_found int, ids_crc32 long, decodes boolean")
+    return rows.mapInPandas(trimmed(run), f"doc_id {id_type}, n_pieces long, score double, gap double, n_found int, ids_crc32 long, decodes boolean")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import LOWER, UPPER
+from tesserine.llm.common import LOWER, UPPER, join_hot, materialize
 
 #: Headers that a not-modified answer may carry and that replace those of the stored response (RFC 9110, 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
@@ -33,11 +33,13 @@ def resolve_revisits(records: DataFrame, *, bucket_s: int = 86_400) -> DataFrame
     validator that both carry agrees (etag without W/ first, else last_modified), "changed" if it differs,
     "unchecked" if they share none, "missing" without an earlier response. A resolved or unchecked record gets the
     response's headers, permitted ones replaced by the revisit's, and its payload digest; others keep their own headers
-    and have no digest. Null url or ts: missing. Repeated records are resolved each; extra columns are ignored; an
+    and have no digest. Of header names that differ in case only, the first in byte order (capitals first) stands for all
+    where headers are merged. Null url or ts: missing. Repeated records are resolved each; extra columns are ignored; an
     empty table gives an empty result.
 
     The as-of join runs in two steps, so that one URL may hold a third of all rows: records are dealt by URL and time
-    bucket, and what a bucket needs from earlier ones is the last response of each, one row a URL and bucket.
+    bucket, and what a bucket needs from earlier ones is the last response of each, one row a URL and bucket. Responses
+    come back by join_hot, as one of them may have any share of the revisits.
     """
     base = records.withColumn("key", canonical_url("url")).withColumn("_bucket", F.floor(F.col("ts") / bucket_s))
     base = base.withColumn("_full", (F.col("type") == "response") & (F.col("http_status") == 200))
@@ -53,8 +55,11 @@ def resolve_revisits(records: DataFrame, *, bucket_s: int = 86_400) -> DataFrame
     revisits = revisits.join(carry, ["key", "_bucket"], "left").withColumn("_ref", F.coalesce("_inside", "_carry"))
     # the response's own columns come back by its (key, ts, record_id)
     stored = F.struct("ts", "record_id", "etag", "last_modified", "headers", "payload_digest")
+    revisits = materialize(revisits.select("record_id", "key", "ts", "etag", "last_modified", "headers", "_ref"), "revisits")
+    asked = revisits.where(F.col("_ref").isNotNull()).groupBy("key", "_ref").agg(F.count("*").alias("_n"))
     responses = usable.where(F.col("_full")).groupBy("key", F.struct("ts", "record_id").alias("_ref")).agg(F.max_by(stored, F.coalesce("payload_digest", F.lit(""))).alias("_response"))
-    joined = revisits.join(responses, ["key", "_ref"], "left")
+    responses = responses.join(asked, ["key", "_ref"])
+    joined = join_hot(revisits, responses, ["key", "_ref"], "_n", revisits.count(), how="left")
     missing = base.where((F.col("type") == "revisit") & (F.col("key").isNull() | F.col("ts").isNull()))
     missing = missing.withColumn("_response", F.lit(None).cast(joined.schema["_response"].dataType))
     cols = ["record_id", "key", "ts", "etag", "last_modified", "headers", "_response"]
@@ -71,7 +76,13 @@ def _merged(rows: DataFrame) -> DataFrame:
         F.when(r.isNull(), "missing").when(agrees.isNull(), "unchecked").when(agrees, "resolved").otherwise("changed")
     )
     own = F.coalesce("headers", F.create_map().cast("map<string,string>"))
-    names = lambda m: F.transform_keys(m, lambda k, _: F.lower(k))
+
+    def names(m: Column) -> Column:
+        """m with lower-case names; the first in byte order of those that become one."""
+        each = F.transform(F.array_sort(F.map_entries(m)), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+        keys = F.transform(each, lambda e: e["key"])
+        return F.map_from_entries(F.filter(each, lambda e, i: F.array_position(keys, e["key"]) == i + 1))
+
     permitted = F.map_filter(names(own), lambda k, _: k.isin(*PERMITTED))
     stored = names(F.coalesce(r["headers"], F.create_map().cast("map<string,string>")))
     merged = F.map_concat(F.map_filter(stored, lambda k, _: ~F.array_contains(F.map_keys(permitted), k)), permitted)

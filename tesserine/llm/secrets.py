@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tesserine.llm.common import release, trimmed
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -205,19 +207,24 @@ def _scanner(rules: tuple[Rule, ...]) -> Scanner:
     return Scanner(rules)
 
 
+def _scan_blocks(scanner: Scanner, texts: list[str], block: int) -> list[list[tuple[int, int, int]]]:
+    """The spans of all texts, scanned in blocks of `block` characters, or one text."""
+    spans: list = []
+    first = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= block or i == len(texts) - 1:
+            spans += scanner.scan(texts[first : i + 1])
+            first, size = i + 1, 0
+    return spans
+
+
 def _scan_batches(rules: tuple[Rule, ...], block: int) -> Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner = _scanner(rules)
+        kinds = [r.kind for r in rules]
         for pdf in batches:
-            texts = [t or "" for t in pdf["text"]]
-            spans: list = []
-            first = size = 0
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size >= block or i == len(texts) - 1:
-                    spans += scanner.scan(texts[first : i + 1])
-                    first, size = i + 1, 0
-            kinds = [r.kind for r in rules]
+            spans = _scan_blocks(scanner, [t or "" for t in pdf["text"]], block)
             yield pd.DataFrame(
                 {
                     "doc_id": pdf["doc_id"],
@@ -227,7 +234,7 @@ def _scan_batches(rules: tuple[Rule, ...], block: int) -> Callable[[Iterable[pd.
                 }
             )
 
-    return run
+    return trimmed(run)
 
 
 def scan_secrets(docs: DataFrame, *, rules: tuple[Rule, ...] = BASE + MORE, block: int = 1 << 20) -> DataFrame:
@@ -265,17 +272,18 @@ def masked(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
     return "".join(out) + text[max(end, 0) :]
 
 
-def redact(docs: DataFrame, *, rules: tuple[Rule, ...] = BASE + MORE, mask: str = "[secret]") -> DataFrame:
+def redact(docs: DataFrame, *, rules: tuple[Rule, ...] = BASE + MORE, mask: str = "[secret]", block: int = 1 << 20) -> DataFrame:
     """docs with the secrets in text masked, where they lie; overlapping spans become one mask.
 
-    A null text stays null. n_chars, if there, is counted anew where the text changed.
+    A null text stays null. n_chars, if there, is counted anew where the text changed. Repeated rows are masked each.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = _scanner(tuple(rules))
         for texts in batches:
-            found = scanner.scan([t or "" for t in texts])
+            found = _scan_blocks(scanner, [t or "" for t in texts], block)
             yield pd.Series([masked(t, x, mask) if x else t for t, x in zip(texts, found, strict=True)])
+        release()
 
     out = docs.withColumn("_clean", F.pandas_udf(run, "string")(F.col("text").cast("string")))
     if "n_chars" in docs.columns:

@@ -10,11 +10,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import mix, windows, word_hashes
+from tesserine.llm.common import mix, trimmed, windows, word_hashes
 
 LOWEST = -(2**63)  # stands for a null doc_id
-_SPOT = np.dtype([("w", "<u8"), ("d", "<i8"), ("p", "<u4")])
-_COVERED = np.dtype([("d", "<i8"), ("p", "<u4")])
+_SECOND = np.uint64(0xA0761D6478BD642F)
+#: Windows of a chunk, column by column and by place in the chunk: places then compress to next to nothing.
+_SPOTS = (("w", "<u8"), ("v", "<u8"), ("d", "<i8"), ("p", "<u4"))
+#: Covered windows and the earlier window with the same words.
+_COVERED = (("d", "<i8"), ("p", "<u4"), ("d0", "<i8"), ("p0", "<u4"))
 
 
 def _bytes(t: str | None) -> bytes:
@@ -59,7 +62,7 @@ def _emit_blocks(block: int, window: int, bits: int, flush: int):
                 rows.append((p, *(low[a:b][kind[a:b] == k].tobytes() for k in range(4))))
             yield pd.DataFrame(rows, columns=["part", "once", "once_anchor", "more", "more_anchor"])
 
-    return run
+    return trimmed(run)
 
 
 def _hits(bits: int, log2_bits: int):
@@ -90,6 +93,14 @@ def _place(low: np.ndarray, width: int) -> np.ndarray:
     return (mix(low) & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
+def _packed(columns, kinds) -> tuple[bytes, ...]:
+    return tuple(np.ascontiguousarray(c.astype(kind)).tobytes() for c, (_, kind) in zip(columns, kinds, strict=True))
+
+
+def _unpacked(pdf: pd.DataFrame, kinds) -> list[np.ndarray]:
+    return [np.frombuffer(b"".join(pdf[name]), kind) for name, kind in kinds]
+
+
 def _emit_windows(hits: Broadcast, block: int, window: int, bits: int, flush: int):
     """Windows around anchor hits: the earliest of each chunk go to their part, later ones are covered already."""
 
@@ -110,78 +121,105 @@ def _emit_windows(hits: Broadcast, block: int, window: int, bits: int, flush: in
                 # an anchor lies at one of the first `block` places of each window that holds its whole block
                 near = start[seen[start + min(reach, block - 1) + 1] > seen[start]]
                 if len(near):
-                    s = np.empty(len(near), _SPOT)
-                    s["w"], s["d"], s["p"] = windows(words, window)[near], doc_id, near
-                    spots.append(s)
+                    # two hashes: equal windows are told by 128 bits
+                    spots.append((windows(words, window)[near], windows(mix(words + _SECOND), window)[near], np.full(len(near), doc_id, np.int64), near))
             if not spots:
                 continue
-            s = np.concatenate(spots)
-            s = s[np.lexsort((s["p"], s["d"], s["w"]))]
-            first = np.concatenate(([True], s["w"][1:] != s["w"][:-1]))
-            chunk = int(min(d for d, _ in docs))
-            sent, covered = s[first], s[~first]
-            rows = [(p, chunk, sent[a:b].tobytes()) for p, a, b in _cut((sent["w"] >> np.uint64(64 - bits)).astype(np.int64), 1 << bits)]
-            if len(covered):
-                own = np.empty(len(covered), _COVERED)
-                own["d"], own["p"] = covered["d"], covered["p"]
-                rows.append((-1 - int(mix(np.array([chunk]).astype(np.uint64))[0] % np.uint64(1 << bits)), chunk, own.tobytes()))
-            yield pd.DataFrame(rows, columns=["part", "chunk", "spots"])
-
-    return run
+            w, v, d, p = (np.concatenate(c) for c in zip(*spots, strict=True))
+            order = np.lexsort((p, d, v, w))
+            new = np.concatenate(([True], (w[order[1:]] != w[order[:-1]]) | (v[order[1:]] != v[order[:-1]])))
+            first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]  # by place in order: the earliest with the same words
+            chunk = min((d for d, _ in docs if d != LOWEST), default=int(mix(w[:1]).view(np.int64)[0]))
+            part = (w >> np.uint64(64 - bits)).astype(np.int64)
+            sent = order[new]
+            sent = sent[np.lexsort((sent, part[sent]))]
+            rows = [(k, chunk, *_packed((w[sent[a:b]], v[sent[a:b]], d[sent[a:b]], p[sent[a:b]]), _SPOTS), b"", b"") for k, a, b in _cut(part[sent], 1 << bits)]
+            later = _later(d, p, order, first)
+            if later.any():
+                back = np.argsort(order[later])
+                own, at = order[later][back], first[later][back]
+                home = -1 - int(mix(np.array([chunk]).astype(np.uint64))[0] % np.uint64(1 << bits))
+                d1, p1, d0, p0 = _packed((d[own], p[own], d[at], p[at]), _COVERED)
+                rows.append((home, chunk, b"", b"", d1, p1, d0, p0))
+            yield pd.DataFrame(rows, columns=["part", "chunk", "w", "v", "d", "p", "d0", "p0"])
+
+    return trimmed(run)
+
+
+def _later(d: np.ndarray, p: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """By place in order, whether a window starts later than the first with its words; a repeated row's don't."""
+    return (d[order] != d[first]) | (p[order] != p[first])
 
 
 def _resolve(pdf: pd.DataFrame) -> pd.DataFrame:
     """Of the windows with one word sequence all but the earliest are covered."""
     if int(pdf["part"].iloc[0]) < 0:  # decided in their chunk
-        return pdf[["chunk", "spots"]]
-    s = np.frombuffer(b"".join(pdf["spots"]), _SPOT)
-    chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), [len(x) // _SPOT.itemsize for x in pdf["spots"]])
-    order = np.lexsort((s["p"], s["d"], s["w"]))
-    s, chunk = s[order], chunk[order]
-    later = np.flatnonzero(np.concatenate(([False], s["w"][1:] == s["w"][:-1])))
-    later = later[np.argsort(chunk[later], kind="stable")]
-    s, chunk = s[later], chunk[later]
-    own = np.empty(len(s), _COVERED)
-    own["d"], own["p"] = s["d"], s["p"]
-    ids, at = np.unique(chunk, return_index=True)
-    ends = np.append(at[1:], len(own))[: len(ids)]
-    return pd.DataFrame({"chunk": ids, "spots": [own[a:b].tobytes() for a, b in zip(at, ends, strict=True)]}).astype({"chunk": "int64"})
+        return pdf[["chunk", "d", "p", "d0", "p0"]]
+    w, v, d, p = _unpacked(pdf, _SPOTS)
+    chunk = np.repeat(pdf["chunk"].to_numpy(np.int64), [len(x) // 8 for x in pdf["w"]])
+    order = np.lexsort((p, d, v, w))
+    new = np.concatenate(([True], (w[order[1:]] != w[order[:-1]]) | (v[order[1:]] != v[order[:-1]])))
+    first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    hit = _later(d, p, order, first)
+    later, at = order[hit], first[hit]
+    back = np.lexsort((p[later], d[later], chunk[later]))
+    later, at = later[back], at[back]
+    ids, begin = np.unique(chunk[later], return_index=True)
+    ends = np.append(begin[1:], len(later))[: len(ids)]
+    rows = [(c, *_packed((d[later[a:b]], p[later[a:b]], d[at[a:b]], p[at[a:b]]), _COVERED)) for c, a, b in zip(ids, begin, ends, strict=True)]
+    return pd.DataFrame(rows, columns=["chunk", "d", "p", "d0", "p0"]).astype({"chunk": "int64"})
 
 
 def _runs(window: int):
-    """The covered words of each document of a chunk as maximal runs [start, end)."""
+    """Hits extended: windows next to each other whose earlier windows are so too make one maximal exact repeat. The
+    covered words of each document of a chunk are the union of its repeats, as maximal runs [start, end)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = np.frombuffer(b"".join(pdf["spots"]), _COVERED)
-        s = s[np.lexsort((s["p"], s["d"]))]
-        d, p = s["d"], s["p"].astype(np.int64)
-        new = np.concatenate(([True], (d[1:] != d[:-1]) | (p[1:] > p[:-1] + window)))
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(s)) - 1
-        start, end, doc = p[first], p[last] + window, d[first]
-        ids, at = np.unique(doc, return_index=True)
-        ends = np.append(at[1:], len(doc))
-        return pd.DataFrame({"doc_id": ids, "starts": [start[a:b] for a, b in zip(at, ends, strict=True)], "ends": [end[a:b] for a, b in zip(at, ends, strict=True)]})
+        d, p, d0, p0 = _unpacked(pdf, _COVERED)
+        order = np.lexsort((p, d))
+        d, p, d0, p0 = d[order], p[order].astype(np.int64), d0[order], p0[order].astype(np.int64)
+        apart = lambda *tests: np.flatnonzero(np.concatenate(([True], np.logical_or.reduce(tests))))
+        whole = apart(d[1:] != d[:-1], p[1:] > p[:-1] + window)
+        alike = apart(d[1:] != d[:-1], p[1:] != p[:-1] + 1, d0[1:] != d0[:-1], p0[1:] != p0[:-1] + 1)
+        spans = lambda first: (p[first], p[np.append(first[1:], len(d)) - 1] + window)
+        (starts, ends), (a, b) = spans(whole), spans(alike)
+        ids, at = np.unique(d[whole], return_index=True)
+        of = np.searchsorted(d[alike], ids)
+        cuts, cuts_of = np.append(at, len(whole)), np.append(of, len(alike))
+        repeats = [
+            [{"start": int(a[k]), "end": int(b[k]), "from_doc": int(d0[alike[k]]), "from_start": int(p0[alike[k]])} for k in range(x, y)]
+            for x, y in zip(cuts_of[:-1], cuts_of[1:], strict=True)
+        ]
+        cut = lambda c: [c[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pd.DataFrame({"doc_id": ids, "starts": cut(starts), "ends": cut(ends), "repeats": repeats})
 
     return run
 
 
 def repeated_runs(docs: DataFrame, *, window: int = 20, block: int = 10, flush: int = 1 << 22, log2_bits: int = 28) -> DataFrame:
-    """(doc_id, starts, ends): maximal runs of words covered by windows that also start earlier.
+    """(doc_id, starts, ends, repeats) of the documents with words that a window covers which also starts earlier.
 
     Earlier means in a document with a smaller doc_id, or earlier in the same one; null ids come first. Windows are
-    judged on the input. doc_id should be unique: rows that share one are taken as one document.
+    judged on the input.
+    starts and ends are maximal runs of covered words; repeats are the maximal exact repeats that they come from, each
+    with the document and place of an earlier one: start, end, from_doc, from_start. doc_id should be a whole number and
+    unique: rows that share one, or have none, are taken as one document, and repeated rows cover nothing of each other.
 
     Every window of `window` words holds a whole aligned block of `block` of them (window >= 2 * block - 1). The blocks
     of all documents are the index; all rolling windows of `block` words probe it, packed by hash part, so a third of
-    the text's size moves. Blocks that occur elsewhere are marked in a bitmap of 2**log2_bits bits, whatever the input;
-    a false mark costs work and changes nothing. Hits extend to the windows around them. Of windows with one word
-    sequence a chunk of `flush` words sends its earliest, so a passage of any frequency sends one row a chunk.
+    the text's size moves. Blocks that occur elsewhere are marked in a bitmap of at most 2**log2_bits bits, whatever the
+    input; a false mark costs work and changes nothing, and where the bitmap fills up, all windows move, about three times the text.
+    Hits extend to the windows around them. Windows are the same where two hashes of 64 bits agree. Of windows with one word
+    sequence a chunk of `flush` words sends its earliest, so a passage of any frequency sends one row a chunk. Covered
+    windows side by side then extend to maximal repeats.
     """
     if window < 2 * block - 1:
         raise ValueError("a window must hold an aligned block: window >= 2 * block - 1")
     spark = docs.sparkSession
-    bits = min(16, max(6, (docs.count() // 1024).bit_length()))
+    total = docs.count()
+    # a part holds the windows of about a thousand documents, and at most 2**24 classes
+    bits = min(20, max(6, (total // 1024).bit_length()))
+    log2_bits = max(bits + 3, min(log2_bits, max(24, total.bit_length() + 12)))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = rows.mapInPandas(_emit_blocks(block, window, bits, flush), "part int, once binary, once_anchor binary, more binary, more_anchor binary")
     bitmap = np.zeros(1 << (log2_bits - 3), np.uint8)
@@ -189,9 +227,12 @@ def repeated_runs(docs: DataFrame, *, window: int = 20, block: int = 10, flush:
     for part, slice_ in blocks.groupBy("part").applyInPandas(_hits(bits, log2_bits), "part int, slice binary").toLocalIterator():
         bitmap[part * width : (part + 1) * width] = np.frombuffer(slice_, np.uint8)
     hits = spark.sparkContext.broadcast((log2_bits, bitmap))
-    spots = rows.mapInPandas(_emit_windows(hits, block, window, bits, flush), "part int, chunk long, spots binary")
-    covered = spots.groupBy("part").applyInPandas(_resolve, "chunk long, spots binary")
-    return covered.groupBy("chunk").applyInPandas(_runs(window), "doc_id long, starts array<long>, ends array<long>")
+    spots = rows.mapInPandas(_emit_windows(hits, block, window, bits, flush), "part int, chunk long, w binary, v binary, d binary, p binary, d0 binary, p0 binary")
+    covered = spots.groupBy("part").applyInPandas(_resolve, "chunk long, d binary, p binary, d0 binary, p0 binary")
+    repeats = "array<struct<start:long,end:long,from_doc:long,from_start:long>>"
+    runs = covered.groupBy("chunk").applyInPandas(_runs(window), f"doc_id long, starts array<long>, ends array<long>, repeats {repeats}")
+    # one row a document, also where rows in several chunks share an id
+    return runs.groupBy("doc_id").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "repeats")])
 
 
 def _keep(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,7 +247,7 @@ def _keep(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     mask[a:b] = False
                 kept = [words[k] for k in np.flatnonzero(mask)]
             out.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
-        yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])], axis=1)
+        yield pd.concat([pdf[["_key", "_null"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])], axis=1)
 
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -215,8 +256,11 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     Words are runs of characters other than ASCII white space, unchanged. A null or empty text has none. Columns other
     than doc_id and text are ignored; an empty table gives an empty result. See repeated_runs.
     """
-    found = repeated_runs(docs, **options).withColumnRenamed("doc_id", "_key")
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("_key"))
-    joined = rows.join(found, "_key", "left").select("doc_id", "text", "starts", "ends")
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInPandas(_keep, f"doc_id {id_type}, n_words long, n_removed long, kept string")
+    found = repeated_runs(docs, **options).select(F.col("doc_id").alias("_key"), "starts", "ends")
+    # ids go to Python without nulls, which would turn them into floats
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
+    rows = docs.select(key.alias("_key"), F.col("doc_id").isNull().alias("_null"), F.col("text").cast("string").alias("text"))
+    joined = rows.join(found, "_key", "left").select("_key", "_null", "text", "starts", "ends")
+    out = joined.mapInPandas(trimmed(_keep), "_key long, _null boolean, n_words long, n_removed long, kept string")
+    id_ = F.when(~F.col("_null"), F.col("_key")).cast(docs.schema["doc_id"].dataType)
+    return out.select(id_.alias("doc_id"), "n_words", "n_removed", "kept")

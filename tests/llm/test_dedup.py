@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tesserine.llm.exact_dedup import drop_copies, exact_dedup
 from tesserine.llm.jaccard_join import Regions, Threshold, _short_lists, jaccard_components, one_of_each
-from tesserine.llm.substring_dedup import remove_repeats
+from tesserine.llm.substring_dedup import remove_repeats, repeated_runs
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLD = str.maketrans(UPPER, LOWER)
@@ -87,6 +87,11 @@ def test_exact_dedup_edges(docs):
     got = exact_dedup(docs([(None, "a"), (1, "A"), (1, "a"), (None, None)]), keep="max").collect()
     assert sorted((r.doc_id is None, r.keep_id or 0, r.group_size) for r in got) == [(False, 1, 3), (False, 1, 3), (True, 0, 1), (True, 1, 3)]
     assert drop_copies(docs([(1, "a"), (1, "a"), (2, "A"), (3, None)])).count() == 2
+    # an id that names a kept and a dropped row, null ids, texts that differ in case
+    rows = docs([(1, "a"), (1, "b"), (2, "a"), (None, "c"), (None, "C"), (4, "d"), (4, "D"), (4, None)])
+    kept = drop_copies(rows)
+    assert kept.columns == rows.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("1", "b"), ("2", "a"), ("4", "D"), ("4", "None"), ("None", "C")]
 
 
 @pytest.mark.parametrize("least", [16, 3])
@@ -198,3 +203,16 @@ def test_substring_dedup_edges(docs):
     assert got == {None: 0, 1: 20, 2: 0, 3: 40}
     with pytest.raises(ValueError):
         remove_repeats(docs([]), window=18)
+    big = 2**53 + 1
+    got = sorted((str(r.doc_id), r.n_removed) for r in remove_repeats(docs([(None, "x"), (big, t), (big, t), (big + 1, t)])).collect())
+    assert got == [(str(big), 0), (str(big), 0), (str(big + 1), 20), ("None", 0)]
+
+
+def test_substring_repeats_are_maximal(docs):
+    """A passage in the middle of others is one repeat, with the place that it comes from."""
+    w = [f"w{i}" for i in range(50)]
+    rows = [(5, " ".join(["a"] * 3 + w)), (7, " ".join(["b"] * 4 + w[10:45] + ["c"])), (9, " ".join(w[:5] + ["d"] + w[20:41]))]
+    got = {r.doc_id: (r.starts, r.ends, [x.asDict() for x in r.repeats]) for r in repeated_runs(docs(rows)).collect()}
+    assert got[7] == ([4], [39], [{"start": 4, "end": 39, "from_doc": 5, "from_start": 13}])
+    assert got[9] == ([6], [27], [{"start": 6, "end": 27, "from_doc": 5, "from_start": 23}])
+    assert set(got) == {7, 9}
