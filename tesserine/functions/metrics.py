@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tesserine.functions.labels import argmax
-from tesserine.operators.ordered import bucket, row_numbers, running_sums
+from tesserine.operators.ordered import row_numbers, running_min_above, running_sums
 
 #: At and above it a probability counts as positive.
 CUT = 0.5
@@ -84,10 +84,11 @@ def binary_metrics(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return _beside(_beside(confusion(df, by), auroc(df, by), by), average_precision(df, by), by)
 
 
-def multiclass_per_class(df: DataFrame, by: Sequence[str], classes: int, probs: str = "probs", label: str = "label") -> DataFrame:
-    """Support, one-vs-rest AUROC, precision, recall and F1 of each class (M4)."""
+def multiclass_per_class(df: DataFrame, by: Sequence[str], classes: int | None = None, probs: str = "probs", label: str = "label") -> DataFrame:
+    """Support, one-vs-rest AUROC, precision, recall and F1 of each class: of the first `classes`, or of all (M4)."""
     rows = df.where(F.col(label) >= 0).withColumn("pred", argmax(probs))
-    each = rows.select(*by, F.col(label).alias("true"), "pred", F.posexplode(probs).alias("class", "prob")).where(F.col("class") < classes)
+    each = rows.select(*by, F.col(label).alias("true"), "pred", F.posexplode(probs).alias("class", "prob"))
+    each = each if classes is None else each.where(F.col("class") < classes)
     one = each.withColumn("label", (F.col("true") == F.col("class")).cast("int"))
     tp = F.count_if((F.col("true") == F.col("class")) & (F.col("pred") == F.col("class"))).cast("double")
     real, said = F.count_if(F.col("true") == F.col("class")), F.count_if(F.col("pred") == F.col("class"))
@@ -97,7 +98,7 @@ def multiclass_per_class(df: DataFrame, by: Sequence[str], classes: int, probs:
     return counts.join(auroc(one, [*by, "class"]), [*by, "class"], "left")
 
 
-def multiclass_metrics(df: DataFrame, by: Sequence[str], classes: int, probs: str = "probs", label: str = "label") -> DataFrame:
+def multiclass_metrics(df: DataFrame, by: Sequence[str], classes: int | None = None, probs: str = "probs", label: str = "label") -> DataFrame:
     """Macro AUROC, accuracy, balanced accuracy over supported classes and macro F1; undefined classes are skipped (M5)."""
     per = multiclass_per_class(df, by, classes, probs, label)
     macro = per.groupBy(*by).agg(
@@ -156,49 +157,60 @@ def regression_metrics(df: DataFrame, by: Sequence[str], pred: str = "pred", lab
 
 
 def _ahead(time: np.ndarray, event: np.ndarray, risk: np.ndarray) -> tuple[float, float]:
-    """(concordant, comparable) pairs: i before j in time, with an event at i. O(n log n) by a tree over risk ranks."""
-    order = np.argsort(-time, kind="stable")
-    t, e = time[order], event[order]
-    ranks = np.unique(risk, return_inverse=True)[1][order] + 1
-    size = int(ranks.max()) if len(ranks) else 0
-    tree = np.zeros(size + 1)
-
-    def below(k: int) -> float:
-        s = 0.0
-        while k:
-            s += tree[k]
-            k &= k - 1
-        return s
-
-    good = pairs = 0.0
-    at, seen = 0, 0
-    while at < len(t):
-        end = at + int(np.searchsorted(-t[at:], -t[at], "right"))
-        for k in range(at, end):
-            if e[k]:
-                low = below(ranks[k] - 1)
-                good += low + (below(ranks[k]) - low) / 2
-                pairs += seen
-        for k in range(at, end):
-            r = ranks[k]
-            while r <= size:
-                tree[r] += 1
-                r += r & -r
-        seen += end - at
-        at = end
+    """(concordant, comparable) pairs: i before j in time, with an event at i. O(n log n).
+
+    Two times first differ at one bit of their ranks. For each bit, the rows with equal higher bits are sorted by risk,
+    and those with the bit set that come before each one without it are counted.
+    """
+    t, r = np.unique(time, return_inverse=True)[1], np.unique(risk, return_inverse=True)[1]
+    hit = np.asarray(event) == 1
+    pairs = float((len(t) - np.searchsorted(np.sort(t), t[hit], "right")).sum())
+    good = 0.0
+    for bit in range(int(t.max(initial=0)).bit_length()):
+        order = np.lexsort((r, t >> (bit + 1)))
+        above, risks, late = (t >> (bit + 1))[order], r[order], (t >> bit)[order] & 1
+        seen = np.concatenate(([0], np.cumsum(late)))
+        group = np.searchsorted(above, above, "left")
+        new = np.concatenate(([True], (above[1:] != above[:-1]) | (risks[1:] != risks[:-1])))
+        first = np.flatnonzero(new)
+        low, high = first[np.cumsum(new) - 1], np.append(first[1:], len(order))[np.cumsum(new) - 1]
+        asks = (late == 0) & hit[order]
+        below, equal = seen[low] - seen[group], seen[high] - seen[low]
+        good += float((below[asks] + equal[asks] / 2).sum())
     return good, pairs
 
 
+BLOCK_ROWS, CUTS = 20_000, 1024
+
+
+def _blocks(rows: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
+    """rows with the block of a column's value: groups of more than BLOCK_ROWS rows are cut at about even quantiles."""
+    grid = [k / CUTS for k in range(1, CUTS)]
+    cuts = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.percentile_approx(column, grid, 5 * CUTS).alias("_q"))
+    parts = F.least(F.ceil(F.col("_n") / BLOCK_ROWS), F.lit(CUTS)).cast("int")
+    few = F.when(parts > 1, F.transform(F.sequence(F.lit(1), F.greatest(parts - 1, F.lit(1))), lambda k: F.element_at("_q", F.floor(k * CUTS / parts).cast("int")))).otherwise(F.array().cast("array<double>"))
+    cuts = cuts.select(*by, few.alias("_cuts"))
+    held = rows.join(cuts, list(by)) if by else rows.join(F.broadcast(cuts))  # without a grouping one row
+    # binary search: the number of cuts at or below the value
+    at = F.aggregate(
+        F.array(*[F.lit(1 << k) for k in range(CUTS.bit_length() - 1, -1, -1)]),
+        F.lit(0),
+        lambda k, step: F.when((k + step <= F.size("_cuts")) & (F.get("_cuts", k + step - 1) <= F.col(column)), k + step).otherwise(k),
+    )
+    return held.withColumn(name, F.when(F.size("_cuts") == 0, F.lit(0)).otherwise(at)).drop("_cuts")
+
+
 def concordance(df: DataFrame, by: Sequence[str], time: str = "time", event: str = "event", risk: str = "risk") -> DataFrame:
     """Harrell's C: a pair counts if the earlier time has an event; equal risks count half; null without pairs.
 
-    Pairs are split three ways: in one time block; in one risk cell but different blocks; and the rest, which the cells'
-    counts decide. The first two are counted inside blocks and cells, so no task holds a whole group.
+    Pairs are split three ways: in one time block; in one risk block but different time blocks; and the rest, which the
+    counts of the cells of both decide. Blocks hold about BLOCK_ROWS rows (with as many as tie), so no task holds a large group; a
+    group has at most CUTS blocks a side.
     """
     rows = df.where(F.col(time).isNotNull() & F.col(risk).isNotNull()).select(
         *by, F.col(time).cast("double").alias("t"), F.col(event).cast("int").alias("e"), F.col(risk).cast("double").alias("r")
     )
-    rows = rows.withColumn("tb", bucket(F.col("t") / 100.0)).withColumn("rb", bucket(F.col("r")))
+    rows = _blocks(_blocks(rows, by, "t", "tb"), by, "r", "rb")
     schema = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in by)
     counts = f"{schema}{', ' if by else ''}good double, pairs double"
 
@@ -229,11 +241,15 @@ def concordance(df: DataFrame, by: Sequence[str], time: str = "time", event: str
 
 
 def kaplan_meier(df: DataFrame, by: Sequence[str], time: str = "time", event: str = "event") -> DataFrame:
-    """A step a distinct time: at risk, events, survival; the curve starts at (0, 1)."""
+    """A step a distinct time: at risk, events, survival; the curve starts at (0, 1).
+
+    The product of the steps is a running sum of their logarithms, until a step at which all at risk have an event."""
     steps = df.where(F.col(time).isNotNull()).groupBy(*by, F.col(time).alias("time")).agg(F.count("*").alias("n"), F.sum(F.col(event).cast("long")).alias("events"))
     at_risk = running_sums(steps, by, "time", ["n"], descending=True)
-    w = Window.partitionBy(*by).orderBy("time").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    curve = at_risk.select(*by, "time", F.col("cum_n").alias("at_risk"), "events", F.product(1 - F.col("events") / F.col("cum_n")).over(w).alias("survival"))
+    left = 1 - F.col("events") / F.col("cum_n")
+    logs = at_risk.withColumn("log", F.when(left > 0, F.log(left)).otherwise(0.0)).withColumn("end", (left <= 0).cast("int"))
+    summed = running_sums(logs, by, "time", ["log", "end"])
+    curve = summed.select(*by, "time", F.col("cum_n").alias("at_risk"), "events", F.when(F.col("cum_end") > 0, 0.0).otherwise(F.exp("cum_log")).alias("survival"))
     start = steps.groupBy(*by).agg(F.sum("n").alias("at_risk")).select(*by, F.lit(0.0).alias("time"), "at_risk", F.lit(0).cast("long").alias("events"), F.lit(1.0).alias("survival"))
     return start.unionByName(curve)
 
@@ -283,17 +299,19 @@ def erfc(x: pd.Series) -> pd.Series:
 
 def fisher_p(r: Column, n: Column) -> Column:
     """Two-sided p of a correlation by Fisher's z."""
-    inside = F.greatest(F.lit(-0.999999999), F.least(F.lit(0.999999999), r))
+    inside = F.greatest(F.lit(-0.999999), F.least(F.lit(0.999999), r))
     return erfc(F.abs(F.atanh(inside)) * F.sqrt(F.greatest(n - 3, F.lit(0))) / F.sqrt(F.lit(2.0)))
 
 
 def benjamini_hochberg(df: DataFrame, by: Sequence[str], p: str, tie: str) -> DataFrame:
     """df with rank, m and q_value: the step-up adjustment over each group's defined p-values."""
-    ranked = row_numbers(df.where(F.col(p).isNotNull()).withColumn("_key", F.lit(0)), [*by, "_key"], p, tie, "rank")
-    m = F.count("*").over(Window.partitionBy(*by, "_key"))
-    down = Window.partitionBy(*by, "_key").orderBy(F.col("rank").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = ranked.withColumn("m", m).withColumn("_raw", F.col(p) * F.col("m") / F.col("rank"))
-    return out.withColumn("q_value", F.least(F.lit(1.0), F.min("_raw").over(down))).drop("_raw", "_key")
+    keys = [*by, "_key"]
+    rows = df.where(F.col(p).isNotNull()).withColumn("_key", F.lit(0))
+    ranked = row_numbers(rows, keys, p, tie, "rank")
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("m"))
+    out = ranked.join(sizes, keys).withColumn("_raw", F.col(p) * F.col("m") / F.col("rank"))
+    out = running_min_above(out, keys, "rank", "_raw", "_least")
+    return out.withColumn("q_value", F.least(F.lit(1.0), F.col("_least"))).drop("_raw", "_key", "_least")
 
 
 def significant_genes(per_gene: DataFrame, by: Sequence[str] = (), alpha: float = 0.05) -> DataFrame:
@@ -312,8 +330,12 @@ def williams_t(r12: Column, r13: Column, r23: Column, n: Column) -> Column:
 
 
 def beats_random(trained: DataFrame, random: DataFrame, by: Sequence[str] = (), alpha: float = 0.05, fdr: float = 0.2) -> DataFrame:
-    """Genes that a trained model predicts better than a random one: larger correlation by Williams' t, smaller RMSE,
-    and a significant correlation of its own after false-discovery control (M19, J12). The t's tail is the normal one."""
+    """Genes that a trained model predicts better than a random one.
+
+    beats: the trained correlation is above 0 with a two-sided Fisher p (p_own) below alpha; it is above the random one
+    by Williams' test, one-sided p (p_better) below alpha and q_value, its step-up adjustment, below fdr; and the trained
+    RMSE is smaller. Genes with an undefined correlation or of fewer than four patients have no p_better, no q_value and
+    don't beat. Tails are those of the normal distribution."""
     both = trained.select(*by, "gene_id", "patient_id", "pred", "label").join(random.select(*by, "gene_id", "patient_id", F.col("pred").alias("base")), [*by, "gene_id", "patient_id"])
     per = both.groupBy(*by, "gene_id").agg(
         F.count("*").alias("n"),
@@ -323,14 +345,14 @@ def beats_random(trained: DataFrame, random: DataFrame, by: Sequence[str] = (),
         F.sqrt(F.avg((F.col("pred") - F.col("label")) ** 2)).alias("rmse_trained"),
         F.sqrt(F.avg((F.col("base") - F.col("label")) ** 2)).alias("rmse_random"),
     )
+    defined = F.col("r_trained").isNotNull() & F.col("r_random").isNotNull() & F.col("r_between").isNotNull() & (F.col("n") >= 4)
     t = williams_t(F.col("r_trained"), F.col("r_random"), F.col("r_between"), F.col("n"))
-    own = per.withColumn("williams_t", t).withColumn("p_own", fisher_p(F.col("r_trained"), F.col("n")))
-    q = benjamini_hochberg(own, by, "p_own", "gene_id")
-    one_sided = erfc(F.col("williams_t") / F.sqrt(F.lit(2.0))) / 2
-    wins = q.withColumn("p_better", one_sided).withColumn(
-        "beats", (F.col("r_trained") > F.col("r_random")) & (F.col("p_better") < alpha) & (F.col("q_value") < fdr) & (F.col("rmse_trained") < F.col("rmse_random"))
-    )
-    return wins.drop("rank", "m")
+    per = per.withColumn("williams_t", F.when(F.col("n") >= 4, t)).withColumn("p_own", F.when(F.col("n") >= 4, fisher_p(F.col("r_trained"), F.col("n"))))
+    per = per.withColumn("p_better", F.when(defined, erfc(F.col("williams_t") / F.sqrt(F.lit(2.0))) / 2))
+    q = benjamini_hochberg(per, by, "p_better", "gene_id").select(*by, "gene_id", "q_value")
+    wins = (F.col("r_trained") > 0) & (F.col("p_own") < alpha) & (F.col("r_trained") > F.col("r_random")) & (F.col("p_better") < alpha)
+    wins = wins & (F.col("q_value") < fdr) & (F.col("rmse_trained") < F.col("rmse_random"))
+    return per.join(q, [*by, "gene_id"], "left").withColumn("beats", F.coalesce(wins, F.lit(False)))
 
 
 # ---- curves ----
@@ -373,7 +395,7 @@ def _value(f: Callable[..., DataFrame], column: str) -> Callable[[DataFrame, Seq
 METRICS: dict[str, dict[str, tuple[Callable[[DataFrame, Sequence[str]], DataFrame], float | None]]] = {
     "binary": {"auroc": (_value(auroc, "auroc"), 0.5), "average_precision": (_value(average_precision, "average_precision"), None)},
     "multiclass": {
-        "macro_auroc": (lambda df, by: multiclass_metrics(df, by, 64).select(*by, F.col("macro_auroc").alias("metric")), 0.5),
+        "macro_auroc": (lambda df, by: multiclass_metrics(df, by).select(*by, F.col("macro_auroc").alias("metric")), 0.5),
         "quadratic_kappa": (_value(quadratic_kappa, "quadratic_kappa"), 0.0),
     },
     "regression": {"r2": (_value(regression_metrics, "r2"), 0.0), "pearson": (_value(regression_metrics, "pearson"), 0.0), "spearman": (_value(regression_metrics, "spearman"), 0.0)},

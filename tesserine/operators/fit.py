@@ -145,23 +145,30 @@ def fit_survival(train: DataFrame, recipe: Recipe) -> Callable[[DataFrame], Data
     return score
 
 
-def fit_genes(train: DataFrame, recipe: Recipe, block: int = 256) -> Callable[[DataFrame], DataFrame]:
-    """A ridge head a gene in closed form, by blocks of genes (X7, D8). train: features, patient_id, gene_id, value."""
+def fit_genes(train: DataFrame, recipe: Recipe, part_rows: int = 20_000) -> Callable[[DataFrame], DataFrame]:
+    """A ridge head a gene in closed form (X7, D8). train: features, patient_id, gene_id, value.
+
+    A task adds up x x' and x z of at most about `part_rows` patients of one gene; the sums of a gene, one row a part, are
+    solved together. Heads are genes x (features + 1) numbers.
+    """
     stats = profile.gene_state(train.select("patient_id", "gene_id", "value"))
-    rows = train.join(stats.select("gene_id", "mean", "std"), "gene_id").withColumn("z", L.standardize(F.col("value"), F.col("mean"), F.col("std")))
+    rows = train.join(stats.select("gene_id", "mean", "std", F.col("n").alias("_n")), "gene_id").withColumn("z", L.standardize(F.col("value"), F.col("mean"), F.col("std")))
+    parts = F.greatest(F.ceil(F.col("_n") / part_rows), F.lit(1)).cast("long")
+    rows = rows.where(F.col("z").isNotNull()).select("gene_id", F.pmod(F.xxhash64("patient_id"), parts).alias("_part"), "features", "z")
+    kind = train.schema["gene_id"].dataType.simpleString()
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.column_stack([np.array(pdf["features"].tolist(), float), np.ones(len(pdf))])
+        return pd.DataFrame({"gene_id": [pdf["gene_id"].iloc[0]], "n": [len(x)], "xx": [(x.T @ x).ravel().tolist()], "xz": [(x.T @ pdf["z"].to_numpy()).tolist()]})
 
     def ridge(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for gene, g in pdf.dropna(subset=["z"]).groupby("gene_id", sort=True):
-            x = np.column_stack([np.array(g["features"].tolist(), float), np.ones(len(g))])
-            penalty = np.diag([recipe.reg * len(g)] * (x.shape[1] - 1) + [0.0])
-            w = np.linalg.lstsq(x.T @ x + penalty, x.T @ g["z"].to_numpy(), rcond=None)[0]
-            out.append((gene, w.tolist()))
-        return pd.DataFrame(out, columns=["gene_id", "w"])
+        xx, xz, n = np.sum(np.array(pdf["xx"].tolist()), 0), np.sum(np.array(pdf["xz"].tolist()), 0), int(pdf["n"].sum())
+        penalty = np.diag([recipe.reg * n] * (len(xz) - 1) + [0.0])
+        w = np.linalg.lstsq(xx.reshape(len(xz), -1) + penalty, xz, rcond=None)[0]
+        return pd.DataFrame({"gene_id": [pdf["gene_id"].iloc[0]], "w": [w.tolist()]})
 
-    kind = train.schema["gene_id"].dataType.simpleString()
-    blocks = rows.withColumn("_b", F.pmod(F.xxhash64("gene_id"), F.lit(max(1, block))))
-    heads = blocks.groupBy("_b").applyInPandas(lambda pdf: ridge(pdf), f"gene_id {kind}, w array<double>")
+    partial = rows.groupBy("gene_id", "_part").applyInPandas(sums, f"gene_id {kind}, n long, xx array<double>, xz array<double>")
+    heads = partial.groupBy("gene_id").applyInPandas(ridge, f"gene_id {kind}, w array<double>")
 
     def score(df: DataFrame) -> DataFrame:
         each = df.crossJoin(heads)  # every gene is asked of every patient: the result has that many rows

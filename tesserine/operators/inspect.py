@@ -56,7 +56,7 @@ def rank_agreement(attention: DataFrame, model: Sequence[str] = _MODEL) -> DataF
     other = ranked.select("slide_id", "tile_idx", F.col("_m").alias("_m2"), F.col("_r").alias("_r2"))
     pairs = ranked.join(other, ["slide_id", "tile_idx"]).where(F.col("_m") < F.col("_m2"))
     each = pairs.groupBy("slide_id", "_m", "_m2").agg(F.count("*").alias("_n"), M.pearson(F.col("_r").cast("double"), F.col("_r2").cast("double")).alias("_rho"))
-    found = each.where("_n >= 2").groupBy("slide_id").agg(F.percentile("_rho", 0.5).alias("agreement"))
+    found = each.where("_n >= 2").groupBy("slide_id").agg(F.round(F.percentile("_rho", 0.5), 12).alias("agreement"))
     return attention.select("slide_id").distinct().join(found, "slide_id", "left")
 
 
@@ -119,5 +119,9 @@ def run_records(preds: DataFrame, attention: DataFrame, inner: int | None = None
 
 def class_names(mapping: dict[str, int], spark) -> DataFrame:
     """Display name of each class: its values, sorted and joined."""
-    rows = spark.createDataFrame(list(mapping.items()), "value string, class int")
-    return rows.groupBy("class").agg(F.array_join(F.array_sort(F.collect_list("value")), " / ").alias("name"))
+    return name_classes(spark.createDataFrame(list(mapping.items()), "value string, class int"))
+
+
+def name_classes(values: DataFrame) -> DataFrame:
+    """Display names from rows (value, class)."""
+    return values.groupBy("class").agg(F.array_join(F.array_sort(F.collect_set("value")), " / ").alias("name"))

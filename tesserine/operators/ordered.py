@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+STEPS = 1024  # buckets of an octave
 
 
 def bucket(x: Column) -> Column:
-    """A non-decreasing whole number of any double; nulls come first."""
-    return F.coalesce(F.floor((F.atan(x) / math.pi + 0.5) * BUCKETS).cast("int"), F.lit(-1))
+    """A non-decreasing whole number of any double: its octave and the place in it. Nulls come first, NaN last.
+
+    Values from 1e3 to 1e9 fall in twenty thousand buckets, and a group's bucket totals stay a small table: a group has at
+    most 2048 octaves on either side of 0.
+    """
+    a = F.abs(x)
+    octave = F.greatest(F.least(F.floor(F.log2(F.when(a > 0, a))), F.lit(1023).cast("long")), F.lit(-1000).cast("long"))
+    place = F.greatest(F.least(F.floor((F.when(a < float("inf"), a) * F.pow(F.lit(2.0), -octave) - 1) * STEPS), F.lit(STEPS - 1).cast("long")), F.lit(0).cast("long"))
+    size = F.when(a == float("inf"), F.lit(1025 * STEPS * 2).cast("long")).when(a > 0, (octave + 1001) * STEPS + place + 1).otherwise(F.lit(0).cast("long"))
+    return F.when(x.isNull(), F.lit(-(2**31))).when(F.isnan(x), F.lit(2**31 - 1)).otherwise(F.when(x < 0, -size).otherwise(size).cast("int"))
 
 
 def running_sums(df: DataFrame, by: Sequence[str], order: str, values: Sequence[str], *, descending: bool = False) -> DataFrame:
@@ -45,6 +52,16 @@ def row_numbers(df: DataFrame, by: Sequence[str], order: str, tie: str, name: st
     return rows.join(totals, [*by, "_b"]).select(*df.columns, (F.col("_c") + F.row_number().over(inside)).alias(name))
 
 
+def running_min_above(df: DataFrame, by: Sequence[str], order: str, value: str, name: str) -> DataFrame:
+    """df with the least value among the rows of the group from this one on, by `order`; rows with equal order are taken together."""
+    rows = df.withColumn("_b", -bucket(F.col(order).cast("double")))
+    totals = rows.groupBy(*by, "_b").agg(F.min(value).alias("_t"))
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*by, "_b", F.min("_t").over(before).alias("_c"))
+    inside = Window.partitionBy(*by, "_b").orderBy(F.col(order).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.join(totals, [*by, "_b"]).select(*df.columns, F.least("_c", F.min(value).over(inside)).alias(name))
+
+
 def with_pooled(df: DataFrame, outer: str = "outer_fold", pooled: int = -1) -> DataFrame:
     """Each row twice: in its fold and in the pool, which is fold -1."""
     return df.withColumn(outer, F.explode(F.array(F.col(outer).cast("int"), F.lit(pooled))))

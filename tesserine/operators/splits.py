@@ -89,6 +89,11 @@ def fit_set(split: DataFrame | None = None, version: str | None = None, codes: D
     return split.where((F.col("split_version") == version) & (F.col("category") == "fit")).select("patient_id")
 
 
+def first_slides(slides: DataFrame, n: int, position: str) -> DataFrame:
+    """The first n slides in manifest order."""
+    return slides.orderBy(position).limit(n)
+
+
 def head_per_class(df: DataFrame, n: int, by: str, order: str) -> DataFrame:
     """The first n rows of each class by id."""
     w = Window.partitionBy(by).orderBy(order)

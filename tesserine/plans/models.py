@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +9,7 @@ from tesserine.functions import metrics as M
 from tesserine.operators import fit, rollup, splits
 from tesserine.plans.fixtures import Frames
 from tesserine.plans.registry import ORACLES, QUERIES, _rounded, query
+from tesserine.sources import sinks
 from tesserine.streaming import jobs
 
 
@@ -52,7 +50,7 @@ def x05_survival_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def x07_gene_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Frames(spark, sf_dir)
-    items = _items(t).select("patient_id", F.slice("features", 1, 8).alias("features"))
+    items = _items(t).select("patient_id", "features")
     score = fit.fit_genes(items.where(F.col("patient_id").cast("int") % 2 == 0).join(t.matrix.select("patient_id", "gene_id", "value"), "patient_id"), fit.Recipe("regression_vector"))
     return _rounded(score(items.where(F.col("patient_id").cast("int") % 2 == 1)))
 
@@ -61,7 +59,7 @@ def x11_x13_x14_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cohort scored by all development folds, then its ensembles."""
     items = _items(Frames(spark, sf_dir))
     dev, ext = items.where(F.col("slide_id") % 2 == 0), items.where(F.col("slide_id") % 2 == 1)
-    _, _, models = fit.sweep(dev.drop("kind"), _folds(dev, 2), {"one": fit.Recipe("binary", max_iter=5)}, [(0, 0), (1, 1)], _loss)
+    _, _, models = fit.sweep(dev.drop("kind"), _folds(dev, 2), {"one": fit.Recipe("binary", max_iter=5)}, [(o, i) for o in range(2) for i in range(2)], _loss)
     scored = fit.score_with_all(models, ext.drop("kind")).withColumn("field", F.lit("kind"))
     return _rounded(rollup.external_ensembles(rollup.slides_to_patients(scored, ["field", "outer_fold", "inner_fold"])))
 
@@ -69,7 +67,7 @@ def x11_x13_x14_external(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x12_resplit_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(Frames(spark, sf_dir)).drop("kind")
     patients = items.select("patient_id", F.col("label").alias("stratum"))
-    rows = [fit.run_trial(items, patients, fit.Recipe("binary", max_iter=5), "base", "kind", seed, rep, "none") for seed in (1, 2) for rep in (0, 1)]
+    rows = [fit.run_trial(items, patients, fit.Recipe("binary", max_iter=5), "base", "kind", seed, rep, "none") for seed in (1, 2) for rep in (0, 1, 2)]
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -90,15 +88,19 @@ query("x06_losses", "preds bins", lambda t: fit.losses(t.preds.withColumn("logit
     s AS (SELECT outer_fold, -(CASE WHEN b > 0 THEN ln(1 - h[1]) ELSE 0 END + CASE WHEN b > 1 THEN ln(1 - h[2]) ELSE 0 END + CASE WHEN b > 2 THEN ln(1 - h[3]) ELSE 0 END) - CASE WHEN event = 1 THEN ln(h[b + 1]) ELSE ln(1 - h[b + 1]) END AS l FROM h)
 --
 SELECT field, outer_fold, avg(CASE WHEN label = 1 THEN -2 * ln(prob) ELSE -ln(1 - prob) END) AS loss FROM preds GROUP BY ALL UNION ALL SELECT 'os', outer_fold, avg(l) FROM s GROUP BY outer_fold""", "loss")
-query("x08_x18_fusion", "", lambda t: fit.fuse([t.embeddings.select(F.col("vec_id").alias("patient_id"), F.slice(F.transform("embedding", lambda v: v.cast("double")), 1 + 2 * k, 2).alias("features")) for k in range(2)]).select("patient_id", *[F.col("features")[k].alias(f"f{k}") for k in range(4)]),
-    "x AS (SELECT vec_id AS patient_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE AS c, embedding[4]::DOUBLE AS d FROM embeddings)\n--\nSELECT patient_id, a / sqrt(a * a + b * b) AS f0, b / sqrt(a * a + b * b) AS f1, c / sqrt(c * c + d * d) AS f2, d / sqrt(c * c + d * d) AS f3 FROM x", "f0 f1 f2 f3")
+query("x08_x18_fusion", "", lambda t: fit.fuse([t.embeddings.select(F.col("vec_id").alias("patient_id"), F.slice(F.transform("embedding", lambda v: v.cast("double")), 1 + 32 * k, 32).alias("features")) for k in range(2)]).select("patient_id", *[F.col("features")[32 * (k // 2) + k % 2].alias(f"f{k}") for k in range(4)]),
+    """x AS (SELECT vec_id AS patient_id, embedding[1:32] AS a, embedding[33:64] AS b FROM embeddings),
+    n AS (SELECT *, sqrt(list_sum(list_transform(a, lambda v: v::DOUBLE * v::DOUBLE))) AS na, sqrt(list_sum(list_transform(b, lambda v: v::DOUBLE * v::DOUBLE))) AS nb FROM x)
+--
+SELECT patient_id, a[1]::DOUBLE / na AS f0, a[2]::DOUBLE / na AS f1, b[1]::DOUBLE / nb AS f2, b[2]::DOUBLE / nb AS f3 FROM n""", "f0 f1 f2 f3")
+
 
 
 # ---- streams, drained over what is there; each gives its batch twin's rows ----
 
 
 def _shared(spark: SparkSession) -> str:
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='tesserine-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return sinks.fresh(spark, "stream")
 
 
 def _drained(spark: SparkSession, source: DataFrame, make, mode: str = "complete") -> DataFrame:

@@ -169,14 +169,34 @@ query("m15_t02_gene_summary", "genes", lambda t: M.gene_summary(M.gene_pearson(t
 --
 SELECT avg(pearson) AS mean_pearson, avg(pearson) FILTER (k <= 10) AS top_mean_pearson, quantile_cont(spearman, 0.5) AS median_spearman, count(pearson) AS n_scored, count(*) AS n_genes FROM o""", "mean_pearson top_mean_pearson median_spearman")
 
-query("m16_m17_d07_significant_genes", "genes", lambda t: M.benjamini_hochberg(M.gene_pearson(t.genes).withColumn("p_value", M.fisher_p(F.col("pearson"), F.col("n"))), [], "p_value", "gene_id").select("gene_id", "p_value", "rank", "m", "q_value"))
+def _erf(x: str) -> str:
+    """The error function of x >= 0 as a series of positive terms; beyond 6 it is 1 to 15 digits."""
+    return f"(CASE WHEN {x} IS NULL THEN NULL WHEN {x} <= 0 THEN 0.0 WHEN {x} > 6 THEN 1.0 ELSE exp(-({x}) * ({x})) * list_sum(list_transform(range(0, 200), lambda k: exp((2 * k + 1) * ln({x}) - lgamma(k + 1.5)))) END)"
 
-query("m18_m19_j12_beats_random", "genes", lambda t: M.beats_random(t.genes.select("gene_id", "patient_id", "pred", "label"), t.genes.select("gene_id", "patient_id", F.col("base").alias("pred"), "label")).select("gene_id", "n", "r_trained", "r_random", "r_between", "rmse_trained", "rmse_random", "williams_t"),
-    """g AS (SELECT gene_id, count(*) AS n, corr(pred, label) AS r_trained, corr(base, label) AS r_random, corr(pred, base) AS r_between, sqrt(avg((pred - label) ** 2)) AS rmse_trained, sqrt(avg((base - label) ** 2)) AS rmse_random FROM genes GROUP BY gene_id),
-    d AS (SELECT *, 1 - r_trained ** 2 - r_random ** 2 - r_between ** 2 + 2 * r_trained * r_random * r_between AS det, (r_trained + r_random) / 2 AS mr FROM g)
+
+def _fisher(r: str, n: str) -> str:
+    z = f"(abs(atanh(greatest(-0.999999, least(0.999999, {r})))) * sqrt({n} - 3) / sqrt(2.0))"
+    return f"(1 - {_erf(z)})"
+
+
+# ordered by the statistic: far tails are 0 in SQL and tiny, but apart, in Spark
+_STEP_UP = """k AS (SELECT *, row_number() OVER (ORDER BY {o}, gene_id) AS rank, count(*) OVER () AS m FROM {t} WHERE {p} IS NOT NULL),
+    bh AS (SELECT *, least(1.0, min({p} * m / rank) OVER (ORDER BY rank DESC)) AS q_value FROM k)"""
+
+query("m16_m17_d07_significant_genes", "genes", lambda t: M.benjamini_hochberg(M.gene_pearson(t.genes).withColumn("p_value", M.fisher_p(F.col("pearson"), F.col("n"))), [], "p_value", "gene_id").select("gene_id", "p_value", "rank", "m", "q_value"),
+    f"""g AS (SELECT gene_id, count(*) AS n, corr(pred, label) AS r FROM genes GROUP BY gene_id), pv AS (SELECT gene_id, abs(atanh(greatest(-0.999999, least(0.999999, r)))) * sqrt(n - 3) AS z, {_fisher("r", "n")} AS p_value FROM g), {_STEP_UP.format(p="p_value", o="-z", t="pv")}
+--
+SELECT gene_id, p_value, CAST(rank AS INT) AS rank, m, q_value FROM bh""", "p_value q_value")
+
+query("m18_m19_j12_beats_random", "genes", lambda t: M.beats_random(t.genes.select("gene_id", "patient_id", "pred", "label"), t.genes.select("gene_id", "patient_id", F.col("base").alias("pred"), "label")),
+    f"""g AS (SELECT gene_id, count(*) AS n, corr(pred, label) AS r_trained, corr(base, label) AS r_random, corr(pred, base) AS r_between, sqrt(avg((pred - label) ** 2)) AS rmse_trained, sqrt(avg((base - label) ** 2)) AS rmse_random FROM genes GROUP BY gene_id),
+    d AS (SELECT *, 1 - r_trained ** 2 - r_random ** 2 - r_between ** 2 + 2 * r_trained * r_random * r_between AS det, (r_trained + r_random) / 2 AS mr FROM g),
+    w AS (SELECT *, (r_trained - r_random) * sqrt((n - 1) * (1 + r_between) / (2 * det * (n - 1) / (n - 3) + mr * mr * (1 - r_between) ** 3)) AS williams_t, {_fisher("r_trained", "n")} AS p_own FROM d),
+    pv AS (SELECT *, CASE WHEN williams_t >= 0 THEN (1 - {_erf("(williams_t / sqrt(2.0))")}) / 2 ELSE (1 + {_erf("(-williams_t / sqrt(2.0))")}) / 2 END AS p_better FROM w), {_STEP_UP.format(p="p_better", o="-williams_t", t="pv")}
 --
-SELECT gene_id, n, r_trained, r_random, r_between, rmse_trained, rmse_random, (r_trained - r_random) * sqrt((n - 1) * (1 + r_between) / (2 * det * (n - 1) / (n - 3) + mr * mr * (1 - r_between) ** 3)) AS williams_t FROM d""",
-    "r_trained r_random r_between rmse_trained rmse_random williams_t")
+SELECT gene_id, n, r_trained, r_random, r_between, rmse_trained, rmse_random, williams_t, p_own, p_better, q_value,
+    r_trained > 0 AND p_own < 0.05 AND r_trained > r_random AND p_better < 0.05 AND q_value < 0.2 AND rmse_trained < rmse_random AS beats FROM bh""",
+    "r_trained r_random r_between rmse_trained rmse_random williams_t p_own p_better q_value")
 
 query("m20_roc_points", "preds", lambda t: M.roc_points(t.preds, BY).where(F.col("threshold") < 10),
     f"""{_auroc_ctes("preds", "field, outer_fold")}
@@ -190,10 +210,10 @@ query("m20_roc_band", "preds", lambda t: M.roc_band(M.roc_points(t.preds, BY), [
     iv AS (SELECT field, outer_fold, x, CASE WHEN f2 IS NULL THEN tpr ELSE tpr + (t2 - tpr) * (x - fpr) / (f2 - fpr) END AS v FROM sg JOIN gr ON round(x, 9) >= round(fpr, 9) AND (f2 IS NULL OR round(x, 9) < round(f2, 9)))
 --
 SELECT field, avg(v) AS mean_tpr, stddev_pop(v) AS sd_tpr, x AS fpr FROM iv GROUP BY field, x""", "mean_tpr sd_tpr fpr")
-query("m21_ovr_roc_points", "multi", lambda t: M.ovr_roc_points(t.multi.where("inner_fold = 0"), ["field"]).where(F.col("threshold") < 10),
-    f"""e AS (SELECT field, k AS class, probs[k + 1] AS prob, CASE WHEN label = k THEN 1 ELSE 0 END AS label FROM multi, (SELECT unnest(range(5))::INT AS k) WHERE label >= 0 AND inner_fold = 0), {_auroc_ctes("e", "field, class")}
+query("m21_ovr_roc_points", "multi", lambda t: M.ovr_roc_points(t.multi, ["field", "inner_fold"]).where(F.col("threshold") < 10),
+    f"""e AS (SELECT field, inner_fold, k AS class, probs[k + 1] AS prob, CASE WHEN label = k THEN 1 ELSE 0 END AS label FROM multi, (SELECT unnest(range(5))::INT AS k) WHERE label >= 0), {_auroc_ctes("e", "field, inner_fold, class")}
 --
-SELECT field, class, s AS threshold, dn / sum(n) OVER (PARTITION BY field, class) AS fpr, dp / sum(p) OVER (PARTITION BY field, class) AS tpr FROM w""", "threshold fpr tpr")
+SELECT field, inner_fold, class, s AS threshold, dn / sum(n) OVER (PARTITION BY field, inner_fold, class) AS fpr, dp / sum(p) OVER (PARTITION BY field, inner_fold, class) AS tpr FROM w""", "threshold fpr tpr")
 query("m24_m25_registry_score", "reg", lambda t: M.resolve_metric("regression", "r2")[1](R.slides_to_patients(t.reg, ["field", "outer_fold"], "pred"), BY),
     """p AS (SELECT field, outer_fold, patient_id, avg(pred) AS pred, first(label) AS label FROM reg GROUP BY ALL)
 --
@@ -319,8 +339,8 @@ query("f21_l10_s20_import_violations", "strata patients", _import_checks,
 SELECT 'all_predict' AS split_version, NULL AS patient_id, 'missing version' AS reason UNION ALL SELECT 'all_test_er', patient_id, 'unknown patient' FROM i WHERE k % 13 = 0
 UNION ALL SELECT 'all_test_er', patient_id, 'category' FROM i WHERE category = 'fit' UNION ALL SELECT 'all_test_er', patient_id, 'invalid patient' FROM i WHERE k % 11 = 0 AND k % 13 <> 0
 UNION ALL SELECT 'all_test_er', patient_id, 'uncovered patient' FROM strata WHERE CAST(patient_id AS INT) % 11 <> 0 AND CAST(patient_id AS INT) % 7 = 0""")
-query("f22_j17_uncovered_pairs", "preds", lambda t: C.uncovered_pairs(t.preds.where("outer_fold < 2"), t.preds.where("outer_fold < 2").select("patient_id"), t.preds.where("outer_fold < 2")),
-    "SELECT DISTINCT p.patient_id, m.outer_fold, m.inner_fold FROM preds p, (SELECT DISTINCT outer_fold, inner_fold FROM preds WHERE outer_fold < 2) m WHERE p.outer_fold < 2 AND p.outer_fold <> m.outer_fold")
+query("f22_j17_uncovered_pairs", "preds", lambda t: C.uncovered_pairs(t.preds, t.preds.select("patient_id"), t.preds),
+    "SELECT DISTINCT p.patient_id, m.outer_fold, m.inner_fold FROM preds p, (SELECT DISTINCT outer_fold, inner_fold FROM preds) m WHERE p.outer_fold <> m.outer_fold")
 query("f23_f24_arm_agreement", "arms", lambda t: C.disagreeing(t.arms.withColumn("outer_fold", F.when((F.col("arm") == "wide") & (F.col("patient_id").cast("int") % 100 == 5), 4).otherwise(F.col("outer_fold"))), "outer_fold"), "SELECT field, patient_id, min(outer_fold) AS low, CAST(4 AS INT) AS high FROM arms WHERE CAST(patient_id AS INT) % 100 = 5 GROUP BY ALL")
 query("f25_f26_trial_violations", "trials", lambda t: C.trial_violations(t.trials.withColumn("split_hash", F.when((F.col("seed") == 3) & (F.col("arm") == "click"), "x").otherwise(F.col("split_hash"))).withColumn("metric", F.when((F.col("seed") == 4) & (F.col("rep") == 1), float("nan")).otherwise(F.col("metric")))),
     """x AS (SELECT * REPLACE (CASE WHEN seed = 3 AND arm = 'click' THEN 'x' ELSE split_hash END AS split_hash) FROM trials)
@@ -441,9 +461,9 @@ SELECT field, outer_fold, unnest(['auroc', 'average_precision']) AS metric, unne
 
 # ---- inspection ----
 
-query("w01_w02_beats_on_error", "reg", lambda t: I.beats_on_error(t.reg.where("inner_fold = 0")).select("slide_id", "abs_error", "beats"), """x AS (SELECT slide_id, abs(pred - label) AS e FROM reg WHERE inner_fold = 0)
+query("w01_w02_beats_on_error", "reg", lambda t: I.beats_on_error(t.reg, ["field", "inner_fold"]).select("slide_id", "inner_fold", "abs_error", "beats"), """x AS (SELECT slide_id, inner_fold, abs(pred - label) AS e FROM reg)
 --
-SELECT slide_id, e AS abs_error, (count(*) OVER () - row_number() OVER (ORDER BY e, slide_id)) / greatest(count(*) OVER () - 1, 1) AS beats FROM x""", "abs_error beats")
+SELECT slide_id, inner_fold, e AS abs_error, (count(*) OVER w - row_number() OVER (PARTITION BY inner_fold ORDER BY e, slide_id)) / greatest(count(*) OVER w - 1, 1) AS beats FROM x WINDOW w AS (PARTITION BY inner_fold)""", "abs_error beats")
 query("w03_out_risks", "surv slides", lambda t: I.out_risks(t.slides.select("slide_id", "patient_id").join(t.surv.select("field", "patient_id", "risk"), "patient_id")).select("slide_id", "out_risks"), """p AS (SELECT patient_id, (row_number() OVER (ORDER BY risk, patient_id) - 1) / greatest(count(*) OVER () - 1, 1) AS out_risks FROM surv WHERE patient_id IN (SELECT patient_id FROM slides))
 --
 SELECT slide_id, out_risks FROM slides JOIN p USING (patient_id)""", "out_risks")
@@ -470,12 +490,12 @@ query("j01_j08_j19_labels_to_tiles", "tiles slides strata", lambda t: t.tiles.se
 query("t01_t03_hvg_panel", "matrix", lambda t: G.hvg_panel(t.matrix, 10).withColumn("pos", F.col("pos").cast("long")), """v AS (SELECT gene_id, var_pop(ln(1 + value)) AS variance FROM matrix GROUP BY gene_id)
 --
 SELECT row_number() OVER (ORDER BY variance DESC, gene_id) - 1 AS pos, gene_id, variance FROM v QUALIFY row_number() OVER (ORDER BY variance DESC, gene_id) <= 10""", "variance")
-query("j06_j07_s06_resolve_panel", "matrix", lambda t: G.resolve_panel(t.part.where("p_partkey < 200").select(F.col("p_partkey").alias("pos"), F.col("p_partkey").alias("gene_id")), t.matrix)[0], "SELECT p_partkey AS pos, CAST(p_partkey AS VARCHAR) AS gene_id FROM part WHERE p_partkey < 200 AND CAST(p_partkey AS VARCHAR) IN (SELECT gene_id FROM matrix)")
+query("j06_j07_s06_resolve_panel", "matrix", lambda t: G.resolve_panel(t.part.select(F.col("p_partkey").alias("pos"), F.col("p_partkey").alias("gene_id")), t.matrix)[0], "SELECT p_partkey AS pos, CAST(p_partkey AS VARCHAR) AS gene_id FROM part WHERE CAST(p_partkey AS VARCHAR) IN (SELECT gene_id FROM matrix)")
 query("s07_u01_u02_gene_sets", "matrix", lambda t: G.union_of_sets(sheets.parse_gmt(t.nation.select(F.concat_ws("\t", F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), F.lit("set"), "n_name", F.concat(F.lit("g"), (F.col("n_nationkey") % 7).cast("string"))).alias("value"))).join(t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("set_name"), F.col("r_regionkey").alias("set_pos")), "set_name"), ["r0", "r2"]),
     """s AS (SELECT n_regionkey AS set_pos, unnest([n_name, 'g' || (n_nationkey % 7)]) AS symbol, unnest([0, 1])::INT AS pos FROM nation WHERE n_regionkey IN (0, 2))
 --
 SELECT symbol, min(struct_pack(a := set_pos, b := pos)).a AS set_pos, min(struct_pack(a := set_pos, b := pos)).b AS pos FROM s GROUP BY symbol""")
-query("s14_readable_predictions", "multi", lambda t: sinks.readable_predictions(t.multi.where("inner_fold = 0"), "multiclass", 5).select("slide_id", "patient_id", "label", "pred"), "SELECT slide_id, patient_id, label, CAST(list_position(probs, list_max(probs)) - 1 AS INT) AS pred FROM multi WHERE inner_fold = 0")
+query("s14_readable_predictions", "multi", lambda t: sinks.readable_predictions(t.multi, "multiclass", 5).select("slide_id", "patient_id", "label", "pred", *[F.round(F.col(f"prob_{k}").cast("double"), 2).alias(f"p{k}") for k in range(5)]).groupBy("slide_id", "patient_id", "label").agg(F.sum("pred").alias("preds"), F.count("*").alias("n"), F.every(F.abs(F.col("p0") + F.col("p1") + F.col("p2") + F.col("p3") + F.col("p4") - 1) < 0.03).alias("whole")), "SELECT slide_id, patient_id, label, CAST(sum(list_position(probs, list_max(probs)) - 1) AS BIGINT) AS preds, count(*) AS n, true AS whole FROM multi GROUP BY ALL")
 query("s17_s30_scalar_patients", "preds", lambda t: sinks.scalar_patients(R.slides_to_patients(t.preds, ["outer_fold"]), R.slides_to_patients(t.preds)), "SELECT patient_id, 'o' || outer_fold AS model, avg(prob) AS prediction, first(label) AS label FROM preds GROUP BY patient_id, outer_fold UNION ALL SELECT patient_id, 'grand', avg(prob), first(label) FROM preds GROUP BY patient_id", "prediction")
 query("s11_s26_discover_folds", "preds", lambda t: sheets.discover_folds(t.preds, sinks.run_metadata(t.preds.where("outer_fold <> 3"), 5, 3, "x")).groupBy("outer_fold", "inner_fold").agg(F.count("*").alias("n")), "SELECT outer_fold, inner_fold, count(*) AS n FROM preds WHERE outer_fold <> 3 GROUP BY ALL")
 query("s29_upsert_masks", "geometry", lambda t: sinks.upsert_masks(t.geometry.where("slide_id % 3 = 0").select(F.col("slide_id").cast("string").alias("image_path"), "mask_path"), t.geometry.where("slide_id % 2 = 0").select(F.col("slide_id").cast("string").alias("image_path"), F.lit("new").alias("mask_path"))), "SELECT CAST(slide_id AS VARCHAR) AS image_path, CASE WHEN slide_id % 3 = 0 THEN mask_path ELSE 'new' END AS mask_path FROM geometry WHERE slide_id % 3 = 0 OR slide_id % 2 = 0")

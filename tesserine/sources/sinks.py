@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -11,6 +12,23 @@ from pyspark.sql import functions as F
 from tesserine.functions import labels as L
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share. Where the session names none, a temporary one serves a local master; on a
+    cluster other machines couldn't read it, so that is refused."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="tesserine-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def fresh(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has used."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def replace_dir(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
     """Lets `write` fill a staging folder beside the target and swaps it in when that succeeded."""
     jvm = spark.sparkContext._jvm

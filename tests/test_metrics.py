@@ -138,3 +138,76 @@ def test_registry_refuses():
     for bad in (("x", None), ("binary", "r2")):
         with pytest.raises(ValueError):
             M.resolve_metric(*bad)
+
+
+def test_buckets_are_monotone_and_many(spark):
+    """Values far from 0 and close to each other fall in many buckets, in order."""
+    from tesserine.operators.ordered import bucket
+
+    r = random.Random(4)
+    xs = [10 ** r.uniform(3, 9) for _ in range(2000)] + [-(10 ** r.uniform(-3, 9)) for _ in range(500)] + [0.0, 5e-324, -5e-324, 1e308, -1e308, float("inf"), float("-inf"), float("nan"), None, 2.0**52, 2.0**52 - 0.5]
+    got = [(row.x, row.b) for row in spark.createDataFrame([(x,) for x in xs], "x double").withColumn("b", bucket(F.col("x"))).orderBy("x").collect()]
+    assert [b for _, b in got] == sorted(b for _, b in got)
+    assert len({b for x, b in got if x is not None and 1e3 <= x <= 1e9}) > 1500
+
+
+def test_concordance_in_blocks(spark, monkeypatch):
+    """With small blocks most pairs are decided between blocks; the result is the same."""
+    r = random.Random(9)
+    rows = {g: [(float(r.choice([r.randrange(40), r.randrange(10_000)])), r.randrange(2), r.choice([round(r.random(), 1), r.random() * 1e6])) for _ in range(150)] for g in "ab"}
+    df = spark.createDataFrame([(g, *x) for g in rows for x in rows[g]] + [("one", 3.0, 1, 0.5)], "g string, time double, event int, risk double")
+    for size in (20_000, 20):
+        monkeypatch.setattr(M, "BLOCK_ROWS", size)
+        got = {x.g: x.c_index for x in M.concordance(df, ["g"]).collect()}
+        assert got["one"] is None
+        for g in rows:
+            assert got[g] == pytest.approx(plain_c(rows[g]))
+        assert M.concordance(df.where("g = 'a'"), []).first().c_index == pytest.approx(plain_c(rows["a"]))
+
+
+def test_survival_reaches_zero(spark):
+    rows = [("a", float(t), 1) for t in (5, 1, 3)] + [("b", 1e6, 0), ("b", 2e6, 1), ("b", 2e6, 0), ("b", 3e9, 0)]
+    got = {(x.g, x.time): x.survival for x in M.kaplan_meier(frame(spark, rows, "g string, time double, event int"), ["g"]).collect()}
+    assert got[("a", 5.0)] == 0.0 and got[("a", 3.0)] == pytest.approx(1 / 3) and got[("b", 2e6)] == pytest.approx(2 / 3) and got[("b", 3e9)] == pytest.approx(2 / 3)
+
+
+def test_all_classes_are_scored(spark):
+    k = 80
+    rows = [("g", [1.0 if c == y else 0.0 for c in range(k)], y) for y in range(k)]
+    df = spark.createDataFrame(rows, "g string, probs array<double>, label int")
+    assert M.multiclass_per_class(df, ["g"]).count() == k
+    assert M.resolve_metric("multiclass")[1](df, ["g"]).first().metric == 1.0
+
+
+def test_beats_random_by_each_criterion(spark):
+    """Against the definition in plain Python, with negative correlations and genes of three patients."""
+    r = random.Random(12)
+    rows, plain = [], {}
+    for g in range(30):
+        n = 3 if g == 29 else 40
+        y = [r.gauss(0, 1) for _ in range(n)]
+        sign = -1 if g % 5 == 0 else 1
+        p = [sign * v * (0.2 + g / 20) + r.gauss(0, 1) for v in y]
+        b = [v * 0.2 + r.gauss(0, 1) for v in y]
+        rows += [(g, i, p[i], b[i], y[i]) for i in range(n)]
+        r1, r2, r12 = (float(np.corrcoef(u, v)[0, 1]) for u, v in ((p, y), (b, y), (p, b)))
+        e1, e2 = (float(np.sqrt(np.mean((np.array(u) - np.array(y)) ** 2))) for u in (p, b))
+        if n >= 4:
+            p1 = math.erfc(abs(math.atanh(r1)) * math.sqrt(n - 3) / math.sqrt(2))
+            det = 1 - r1**2 - r2**2 - r12**2 + 2 * r1 * r2 * r12
+            t = (r1 - r2) * math.sqrt((n - 1) * (1 + r12) / (2 * (n - 1) / (n - 3) * det + ((r1 + r2) / 2) ** 2 * (1 - r12) ** 3))
+            plain[g] = (r1, r2, p1, math.erfc(t / math.sqrt(2)) / 2, e1, e2)
+    tested = sorted(plain, key=lambda g: plain[g][3])
+    q, least = {}, 1.0
+    for k in range(len(tested), 0, -1):
+        least = min(least, plain[tested[k - 1]][3] * len(tested) / k)
+        q[tested[k - 1]] = least
+    want = {g for g, (r1, r2, p1, p2, e1, e2) in plain.items() if r1 > 0 and p1 < 0.05 and r1 > r2 and p2 < 0.05 and q[g] < 0.2 and e1 < e2}
+    df = spark.createDataFrame(rows, "gene_id int, patient_id int, pred double, base double, label double")
+    got = M.beats_random(df.select("gene_id", "patient_id", "pred", "label"), df.select("gene_id", "patient_id", F.col("base").alias("pred"), "label")).collect()
+    assert {x.gene_id for x in got if x.beats} == want and want
+    for x in got:
+        if x.gene_id in q:
+            assert x.q_value == pytest.approx(q[x.gene_id]) and x.p_better == pytest.approx(plain[x.gene_id][3])
+        else:
+            assert x.q_value is None and not x.beats
