@@ -297,3 +297,121 @@ def test_language_id_edges(docs):
     assert got[:6] == [(1, "und"), (2, "und"), (3, "und"), (4, "fr"), (4, "en"), (5, "fr")]
     assert {r.lang_pred for r in identify(rows, {}).collect()} == {"und"} and fit_profiles(docs([])) == {}
     assert identify(docs([]), profiles).count() == 0
+
+
+def plain_fingerprint(text, bins, bits):
+    """One-permutation MinHash in plain Python over the same 64-bit shingle hashes; bins as lists, donors one by one."""
+    from tesserine.llm.common import mix, shingles
+
+    width = 64 - (bins.bit_length() - 1)
+    held = [[] for _ in range(bins)]
+    for h in shingles(text.encode().lower(), 5).tolist():
+        held[h >> width].append(h & ((1 << width) - 1))
+    if not any(held):
+        return b""
+    order = lambda b: sorted(range(bins), key=lambda k: (int(mix(np.array([b * bins + k], np.uint64) + np.uint64(0x51ED270B))[0]), k))
+    out = []
+    for b in range(bins):
+        donor = b if held[b] else next(k for k in order(b) if held[k])
+        value = int(mix(np.array([min(held[donor])], np.uint64) + mix(np.array([b + 1], np.uint64)))[0])
+        out.append(value & ((1 << bits) - 1))
+    number = 0
+    for v in out:
+        number = number << bits | v
+    return number.to_bytes(bins * bits // 8, "big")
+
+
+@pytest.mark.parametrize(("bins", "bits"), [(64, 8), (64, 4), (128, 1)])
+def test_fingerprint_against_plain_minhash(bins, bits):
+    r = random.Random(bits)
+    for n in (0, 1, 4, 5, 6, 9, 20, 200, 1000):
+        text = " ".join(f"w{r.randrange(500)}" for _ in range(n))
+        assert fingerprint(text, bins=bins, bits=bits) == plain_fingerprint(text, bins, bits)
+
+
+def test_few_shingles_are_unbiased():
+    """Also with two to eight shingles in 512 bins the likeness is right on average."""
+    r = random.Random(6)
+    for n in (2, 4, 8):
+        found = []
+        for _ in range(300):
+            a = [f"a{r.randrange(10**9)}" for _ in range(n + 4)]
+            b = [*a[: n // 2 + 4], *(f"b{r.randrange(10**9)}" for _ in range(n - n // 2))]
+            x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+            found.append(likeness(fingerprint(" ".join(a)), fingerprint(" ".join(b))) - len(x & y) / len(x | y))
+        assert abs(np.mean(found)) < 0.04
+
+
+def test_ids_beside_nulls_keep_all_digits(docs):
+    big = 2**53 + 1
+    got = fingerprint_pairs(docs([(big, "a b"), (None, "c"), (big + 1, "d")]))
+    assert sorted(str(r.doc_id) for r in got.collect()) == sorted([str(big), "None", str(big + 1)])
+    assert got.schema["doc_id"].dataType.simpleString() == "bigint"
+
+
+def test_blocks_search_long_chunks_alike(monkeypatch):
+    """The search of chunks together and that of one chunk give the same segmentations, ties included."""
+    enc = pieces.block_encoder("piece_bpe_32k.model")
+    r = random.Random(8)
+    texts = ["".join(r.choice("aabbcde ") for _ in range(n)) for n in (1, 7, 60, 200)] + ["日本語の文字列" * 9, "x" * 90]
+    want = [[(round(s, 6), ids.tolist(), ok) for s, ids, ok in found] for found in enc.encode(texts, 4)]
+    monkeypatch.setattr(pieces.Block, "LONG", 5)
+    got = [[(round(s, 6), ids.tolist(), ok) for s, ids, ok in found] for found in enc.encode(texts, 4)]
+    assert got == want
+
+
+def test_unspaced_text_takes_time_in_proportion():
+    import time
+
+    enc = pieces.block_encoder("piece_bpe_32k.model")
+    r = random.Random(9)
+    took = []
+    for n in (25_000, 100_000):
+        text = "".join(chr(r.randrange(0x4E00, 0x9FA0)) for _ in range(n))
+        start = time.process_time()
+        assert enc.encode([text], 4)[0][0][2]
+        took.append(time.process_time() - start)
+    assert took[1] < 20 and took[1] < 12 * took[0] + 1
+
+
+def test_language_id_against_plain_bundles(spark):
+    """Profiles and predictions from letter vectors bound and bundled one n-gram at a time, with exact numbers."""
+    from tesserine.llm.language_id import UNDETERMINED
+
+    dim, n, seed = 256, 3, 7
+    rows = [(1, "the cat and the dog", "en"), (2, "THE hat; and 7 mats", "en"), (3, "el gato y el perro", "es"), (4, "los gatos y perros del sur", "es"), (5, "el perro", None), (6, "and the", None), (7, "12 !", None), (8, None, "en"), (9, "ñandú", None)]
+
+    def letter(c):
+        return np.random.default_rng((seed, ord(c))).integers(0, 2, dim, dtype=np.int8).astype(int) * 2 - 1
+
+    def vector(text):
+        if text is None or not any(c.isalpha() for c in text):
+            return None
+        line = " " + re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in text.lower())) + " "
+        line = re.sub(" +", " ", line)
+        total = np.zeros(dim)
+        for i in range(len(line) - n + 1):
+            bound = np.ones(dim)
+            for place in range(n):
+                # the last letter is not permuted, the first by n - 1 places
+                bound = bound * np.roll(letter(line[i + n - 1 - place]), place)
+            total += bound
+        return total / np.linalg.norm(total)
+
+    sums = {}
+    for _, text, lang in rows:
+        v = vector(text)
+        if lang and v is not None:
+            sums[lang] = sums.get(lang, 0) + v
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = fit_profiles(frame, dim=dim, n=n, seed=seed)
+    for lang, v in sums.items():
+        assert np.allclose(profiles[lang], v / np.linalg.norm(v), atol=1e-4)
+    for r in identify(frame, profiles, dim=dim, n=n, seed=seed).collect():
+        v = vector(r.text)
+        if v is None:
+            assert (r.lang_pred, r.score) == (UNDETERMINED, 0.0)
+        else:
+            cos = {lang: float(v @ s / np.linalg.norm(s)) for lang, s in sums.items()}
+            best = max(sorted(cos), key=cos.get)
+            assert r.lang_pred == best and r.score == pytest.approx(max(0.0, cos[best]), abs=1e-4)

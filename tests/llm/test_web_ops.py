@@ -194,3 +194,95 @@ def test_language_stage_without_labels_keeps_lettered_texts(spark, docs):
 
     got = p.language_id(spark, docs([(1, "the of and"), (2, "123"), (3, None), (4, "да")]), SMALL).collect()
     assert {x.doc_id: x.lang for x in got} == {1: "und", 4: "und"}
+
+
+def test_header_names_that_differ_in_case(spark):
+    """Names that differ in case only become one: the first in byte order stands for all."""
+    rows = [
+        (1, "http://a.org/", 1, "response", 200, None, None, {"Set-Cookie": "A", "set-cookie": "b", "X": "1", "date": "old"}, "d1", None),
+        (2, "http://a.org/", 2, "revisit", 304, None, None, {"Date": "new", "date": "newer", "ETAG": "e"}, None, None),
+    ]
+    got = resolve_revisits(spark.createDataFrame(rows, RECORDS)).collect()
+    assert len(got) == 1 and got[0].status == "unchecked"
+    assert got[0].headers == {"set-cookie": "A", "x": "1", "date": "new", "etag": "e"}
+
+
+def test_one_response_with_most_revisits(spark):
+    rows = [(0, "http://a.org/", 0, "response", 200, '"t"', None, None, "d", None)]
+    rows += [(k, "http://a.org/" if k % 3 else f"http://b.org/{k}", k, "revisit", 304, '"t"', None, None, None, None) for k in range(1, 3000)]
+    got = resolve_revisits(spark.createDataFrame(rows, RECORDS)).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in got} == {"resolved": 2000, "missing": 999}
+
+
+def test_tokens_with_line_breaks_stay_one_token(spark):
+    rows = [f"http://{h}/{i}?track=1" for h in ("a.net/es", "b.net/fr", "example.com/en") for i in range(20)]
+    rows += ["http://z.org/q\nq:track", "http://z.org/q?track"] + [f"http://e.com/{i}" for i in range(60)]
+    got = {r.page_id: (r.path, r.verdict) for r in filter_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).collect()}
+    assert got[60] == ("/q\nq:track", "allow") and got[61] == ("/q", "block")
+
+
+def test_an_index_too_large_to_broadcast(spark, monkeypatch):
+    import tesserine.llm.url_filters as u
+
+    r = random.Random(1)
+    baskets = [(k, sorted({f"t{r.randrange(6)}" for _ in range(4)}), r.choice(["block", "allow"])) for k in range(200)]
+    urls_ = spark.createDataFrame([x[:2] for x in baskets], "k int, tokens array<string>")
+    rules = mine_rules(spark.createDataFrame([x[1:] for x in baskets], "tokens array<string>, verdict string"), min_support=0.02, min_confidence=0.5)
+    same = lambda: sorted(map(tuple, match_rules(urls_, rules, key="k").collect()))
+    want = same()
+    monkeypatch.setattr(u, "INDEX_ROWS", 0)
+    assert same() == want and want
+
+
+def plain_verdicts(rows, min_support, min_confidence):
+    """Host, path, listed rules, and mined rules by counting every set of tokens, all in plain Python."""
+    from itertools import combinations
+
+    def tokens(u, host, path):
+        u = u or ""
+        out = {f"s:{m[1]}" for m in [re.match("([A-Za-z]*)://", u)] if m and m[1]} | {f"h:{x}" for x in host.split(".") if x} | {f"p:{x}" for x in path.split("/") if x}
+        m = re.search(r"\?([^#]*)", u)
+        return out | {"q:" + x.split("=")[0] for x in (m[1] if m else "").split("&") if x.split("=")[0] or x} | ({"f:"} if "#" in u else set())
+
+    seen, labelled = {}, []
+    for i, u in rows:
+        host, path = split_url(u)
+        fits = [(len(h + p), h + p, v, h, p) for v, h, p in LISTED if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        t = tokens(u, host, path)
+        if fits:
+            _, rule, verdict, h, p = max(fits)
+            own = {f"h:{x}" for x in h.split(".") if x} | {f"p:{x}" for x in p.split("/") if x}
+            labelled.append((frozenset(t - own), verdict, rule, host))
+            seen[i] = (host, path, rule, verdict)
+        else:
+            seen[i] = (host, path, None, t)
+    found = {}
+    for t, verdict, rule, host in labelled:
+        for k in range(1, len(t) + 1):
+            for c in combinations(sorted(t), k):
+                found.setdefault(c, []).append((verdict, rule, host))
+    rules = []
+    for items, hits in found.items():
+        for verdict in ("allow", "block"):
+            n = sum(v == verdict for v, _, _ in hits)
+            if n and n / len(labelled) >= min_support and n / len(hits) >= min_confidence:
+                rules.append((items, verdict, n / len(hits), n / len(labelled), hits))
+    shorter = [x for x in rules if not any(set(y[0]) < set(x[0]) and y[1] == x[1] and y[2] >= x[2] for y in rules)]
+    held = [x for x in shorter if x[1] == "allow" or all(len({h[k] for h in x[4] if h[0] == "block"}) > 1 for k in (1, 2))]
+    out = {}
+    for i, (host, path, rule, verdict) in seen.items():
+        if rule is None:
+            best = max(((c, s, v) for items, v, c, s, _ in held if set(items) <= verdict), default=None)
+            verdict = best[2] if best else "allow"
+        out[i] = (host, path, rule, verdict)
+    return out
+
+
+def test_url_verdicts_against_plain_counting(spark):
+    r = random.Random(7)
+    hosts = ["example.com", "www.example.com", "a.net", "b.net", "c.org", "d.org", "e.com"]
+    rows = [(i, f"http://{r.choice(hosts)}/{r.choice(['en', 'es', 'fr', 'de'])}/{r.choice(['x', 'y'])}{r.choice(['', '?track=1', '?a=2&track', '#top'])}") for i in range(400)]
+    rows += [(400, None), (401, "no scheme"), (402, "http://c.org/es/x?track=9\n")]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    got = {x.page_id: (x.host, x.path, x.rule, x.verdict) for x in filter_urls(frame, min_support=0.02, min_confidence=0.9).collect()}
+    assert got == plain_verdicts(rows, 0.02, 0.9)
