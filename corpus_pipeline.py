@@ -22,8 +22,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The cosine with the nearest prototype decides: it must reach the bound that `least_scores` takes from all labelled
     rows with as many distinct n-grams. A lang whose own cosine stays below the bound gives way to the predicted one,
-    which a null lang takes too. Texts without a letter are rejected. Where no row has a lang, nothing is learned:
-    every text with a letter goes on, under "und".
+    which a null lang takes too. Texts without a letter are rejected, null and empty ones with them. Where no row has a
+    lang, nothing is learned: every text with a letter goes on, under "und". Repeated rows are judged each; a null doc_id
+    makes no difference.
     """
     prepare(spark)
     seen = materialize(weigh(docs, fit_profiles(docs)), "languages")
@@ -35,25 +36,35 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id goes on."""
+    """Of equal texts (A-Z lower-cased, null as empty) the document with the largest id goes on.
+
+    A null id is the smallest. Of rows alike in id and text one goes on, as `drop_copies` says.
+    """
     prepare(spark)
     return drop_copies(docs, keep="max")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by a likeness of 0.8 in five-word shingles the smallest id goes on."""
+    """Of each group linked by a likeness of 0.8 in five-word shingles the smallest id goes on.
+
+    Texts without words are linked with nothing and go on, as do rows without an id. Rows that share an id are one
+    document: all of them go on or none.
+    """
     prepare(spark)
     return one_of_each(docs, words=5, threshold=Threshold(80, 100))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents go on, with secrets masked."""
+    """All documents go on, with secrets masked; a null text stays null, repeated rows are masked each."""
     prepare(spark)
     return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, packed into sequences of at most 1024 tokens."""
+    """The pieces of all documents, packed into sequences of at most 1024 tokens.
+
+    A null or empty text is one piece of the end id; repeated rows are packed each, under their own doc_id or null.
+    """
     prepare(spark)
     return pack(docs)
 
