@@ -196,7 +196,7 @@ def _runs(window: int):
     return run
 
 
-def repeated_runs(docs: DataFrame, *, window: int = 20, block: int = 10, flush: int = 1 << 22, log2_bits: int = 28) -> DataFrame:
+def repeated_runs(docs: DataFrame, *, window: int = 20, block: int = 10, flush: int = 1 << 21, log2_bits: int = 28) -> DataFrame:
     """(doc_id, starts, ends, repeats) of the documents with words that a window covers which also starts earlier.
 
     Earlier means in a document with a smaller doc_id, or earlier in the same one; null ids come first. Windows are
