@@ -40,10 +40,15 @@ def pearson_of_sums(sums: DataFrame) -> DataFrame:
 
 
 def unique_trials(trials: DataFrame, *, late: str = "7 days") -> DataFrame:
-    """One row a trial identity; a trial that lands again within the watermark is dropped."""
+    """One row a trial identity; a trial that lands again within the watermark is dropped.
+
+    A trial without `landed` lands when it is read. State is kept for `late` and no longer; the table that takes the trials
+    drops what lands again after that."""
+    key = ["arm", "field", "seed", "rep"]
     if "landed" in trials.columns:
-        return trials.withWatermark("landed", late).dropDuplicatesWithinWatermark(["arm", "field", "seed", "rep"])
-    return trials.dropDuplicates(["arm", "field", "seed", "rep"])
+        return trials.withWatermark("landed", late).dropDuplicatesWithinWatermark(key)
+    timed = trials.withColumn("landed", F.current_timestamp())
+    return timed.withWatermark("landed", late).dropDuplicatesWithinWatermark(key).drop("landed")
 
 
 def margin_on_arrival(trials: DataFrame, store: str, reference: str, publish: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
