@@ -19,9 +19,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches by rows and bytes, so that very long texts don't fill a worker's memory."""
+    """Settings of the session that the operators count on: Arrow batches bounded by rows and bytes, so that very long
+    texts don't fill a worker's memory, and shuffle files that go when the action that wrote them ends."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -52,11 +54,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete tables of `materialize` that nothing will read any more."""
     for df in tables:
-        path = _WRITTEN.pop(df, None)
-        if path:
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+        if path := _WRITTEN.pop(df, None):
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def release() -> None:

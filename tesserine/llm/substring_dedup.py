@@ -224,7 +224,7 @@ def repeated_runs(docs: DataFrame, *, window: int = 20, block: int = 10, flush:
     blocks = rows.mapInPandas(_emit_blocks(block, window, bits, flush), "part int, once binary, once_anchor binary, more binary, more_anchor binary")
     bitmap = np.zeros(1 << (log2_bits - 3), np.uint8)
     width = 1 << (log2_bits - bits - 3)
-    for part, slice_ in blocks.groupBy("part").applyInPandas(_hits(bits, log2_bits), "part int, slice binary").toLocalIterator():
+    for part, slice_ in blocks.groupBy("part").applyInPandas(_hits(bits, log2_bits), "part int, slice binary").collect():
         bitmap[part * width : (part + 1) * width] = np.frombuffer(slice_, np.uint8)
     hits = spark.sparkContext.broadcast((log2_bits, bitmap))
     spots = rows.mapInPandas(_emit_windows(hits, block, window, bits, flush), "part int, chunk long, w binary, v binary, d binary, p binary, d0 binary, p0 binary")

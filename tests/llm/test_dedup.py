@@ -216,3 +216,27 @@ def test_substring_repeats_are_maximal(docs):
     assert got[7] == ([4], [39], [{"start": 4, "end": 39, "from_doc": 5, "from_start": 13}])
     assert got[9] == ([6], [27], [{"start": 6, "end": 27, "from_doc": 5, "from_start": 23}])
     assert set(got) == {7, 9}
+
+
+def test_projections_of_long_documents():
+    """Documents of sizes on both sides of a change of bins: alike ones always pass, others seldom do."""
+    import numpy as np
+    import pandas as pd
+
+    from tesserine.llm.jaccard_join import _bins, _window_filter
+
+    r = np.random.default_rng(2)
+    t, keep = Threshold(80, 100), _window_filter(Threshold(80, 100)).func
+    place = lambda s: np.minimum(np.bincount((s & np.uint64(_bins(len(s)) - 1)).astype(np.int64), minlength=_bins(len(s))), 255).astype(np.uint8).tobytes()
+    like, unlike = [], []
+    for n in (5, 300, 2040, 2049, 4090, 9000, 20_000):
+        a = np.unique(r.integers(0, 2**63, n, dtype=np.uint64))
+        for m in (0, n // 20, n // 10):
+            b = np.unique(np.concatenate([a[m:], r.integers(0, 2**63, m, dtype=np.uint64)]))
+            shared = len(np.intersect1d(a, b))
+            like.append((place(a), place(b), len(a), len(b), t.linked(shared, len(a) + len(b))))
+        if n >= 300:
+            unlike.append((place(a), place(np.unique(r.integers(0, 2**63, n, dtype=np.uint64))), n, n))
+    columns = lambda rows: [pd.Series([x[k] for x in rows]) for k in range(4)]
+    assert all(k for k, row in zip(keep(*columns(like)), like, strict=True) if row[4])
+    assert not keep(*columns(unlike)).any()
