@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import materialize, prepare
+from tesserine.llm.common import discard, materialize, prepare
 from tesserine.llm.exact_dedup import drop_copies
 from tesserine.llm.jaccard_join import Threshold, one_of_each
 from tesserine.llm.language_id import evidence, fit_profiles, least_scores, weigh
@@ -83,5 +83,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over the documents of sf_dir."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        kept = materialize(stage(spark, docs, sf_dir), name)
+        discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
