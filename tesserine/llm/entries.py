@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserine.llm.common import prepare
+from tesserine.llm.conversation_trie import prefix_trie, sequences, share_heads
 from tesserine.llm.exact_dedup import exact_dedup
 from tesserine.llm.fingerprints import fingerprint_pairs
 from tesserine.llm.jaccard_join import Threshold, jaccard_components
@@ -66,7 +67,26 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_jaccard_join, op3_fingerprints, op4_secret_scan, op5_piece_lattice, op6_warc_revisits, op7_pattern_packing, op8_substring_dedup, op9_language_id, op10_url_filters)}
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(share_heads(sequences(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_jaccard_join,
+        op3_fingerprints,
+        op4_secret_scan,
+        op5_piece_lattice,
+        op6_warc_revisits,
+        op7_pattern_packing,
+        op8_substring_dedup,
+        op9_language_id,
+        op10_url_filters,
+        op12_conversation_trie,
+    )
+}
 
 _CAPTURES = """
         r AS (SELECT page_id, k, page_id * 4 + k AS record_id, url, (page_id * 7919 + k * 350003) % 31536000 AS ts,
@@ -104,4 +124,23 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
         FROM t""",
+    "op12_conversation_trie": r"""
+        WITH t AS (SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s,
+                          list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                              lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                  lambda v, z: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))) AS reg
+                   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        c AS (SELECT t.conv_id, list_concat(coalesce(list_slice(b.s, 1, xor(t.reg, 4294967295) % 4), []),
+                                            list_slice(t.s, xor(t.reg, 4294967295) % 4 + 1, len(t.s))) AS p
+              FROM t LEFT JOIN t AS b ON b.conv_id = t.conv_id - t.conv_id % 20),
+        m AS (SELECT conv_id, d, d = len(p) AS whole, list_slice(p, 1, d) AS k FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM c)),
+        n AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE whole), '')) AS ends_sha256,
+                     list_slice(k, 1, d - 1) AS up, CASE WHEN d > 0 THEN len(regexp_extract_all(k[d].x, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+              FROM m GROUP BY k, d),
+        kids AS (SELECT up AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+        node AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (k, d)),
+        sub AS (SELECT list_slice(k, 1, a) AS k, a AS d, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+                FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM node) GROUP BY ALL)
+        SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+        FROM node AS f JOIN sub AS s USING (k, d) LEFT JOIN node AS p ON f.d > 0 AND p.d = f.d - 1 AND p.k = f.up""",
 }
