@@ -11,6 +11,7 @@ from tesserine.llm.exact_dedup import exact_dedup
 from tesserine.llm.fingerprints import fingerprint_pairs
 from tesserine.llm.jaccard_join import Threshold, jaccard_components
 from tesserine.llm.language_id import fit_profiles, held_out, identify
+from tesserine.llm.lexical_search import top_documents
 from tesserine.llm.packing import pack
 from tesserine.llm.pieces import encode_digest
 from tesserine.llm.revisits import captures, resolve_revisits
@@ -67,6 +68,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(share_heads(sequences(table(spark, sf_dir, "conversations"))))
 
@@ -84,6 +89,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_language_id,
         op10_url_filters,
+        op11_lexical_search,
         op12_conversation_trie,
     )
 }
@@ -124,6 +130,18 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
         FROM t""",
+    "op11_lexical_search": r"""
+        WITH words AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM n),
+        m AS (SELECT doc_id, 25 + (75 * n * docs) // total AS m FROM n, s),
+        item AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        q AS (SELECT item_id, term, count(*) * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM item JOIN df USING (term), s GROUP BY item_id, term, docs, df),
+        score AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM q JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM score WHERE score > 0 QUALIFY rank <= 10""",
     "op12_conversation_trie": r"""
         WITH t AS (SELECT conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s,
                           list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
