@@ -9,6 +9,7 @@ from tesserine.llm.common import prepare
 from tesserine.llm.conversation_trie import prefix_trie, sequences, share_heads
 from tesserine.llm.exact_dedup import exact_dedup
 from tesserine.llm.fingerprints import fingerprint_pairs
+from tesserine.llm.html_text import main_text
 from tesserine.llm.jaccard_join import Threshold, jaccard_components
 from tesserine.llm.language_id import fit_profiles, held_out, identify
 from tesserine.llm.lexical_search import top_documents
@@ -76,6 +77,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(share_heads(sequences(table(spark, sf_dir, "conversations"))))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +96,7 @@ QUERIES = {
         op10_url_filters,
         op11_lexical_search,
         op12_conversation_trie,
+        op13_html_extraction,
     )
 }
 
