@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,11 +106,8 @@ def join_hot(rows: DataFrame, dim: DataFrame, keys: list[str], weight: str, tota
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-# ---- hashing of words, vectorised over the bytes of one text ----
+# ---- hashing of words and of their windows ----
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTE = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64)
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INV = np.uint64(pow(int(_R), -1, 2**64))
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -140,13 +138,28 @@ def _spans_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((c[end] - c[start]) * q[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` of a UTF-8 text."""
-    b = np.frombuffer(data, np.uint8)
-    if not len(b):
-        return np.empty(0, np.uint64)
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[b], [True])).view(np.int8)))
-    return _spans_hash(_BYTE[b], edge[::2], edge[1::2])
+class _Hashes(dict):
+    """64-bit seeded hashes of words; those of short words are kept, as most words of a text come again."""
+
+    def __init__(self, seed: int):
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh3_64_intdigest(word, self.seed)
+        if len(word) <= 32:
+            if len(self) >= 1 << 17:
+                self.clear()
+            self[word] = h
+        return h
+
+
+_HASHES = (_Hashes(0x243F6A8885A308D3), _Hashes(0x13198A2E03707344))
+
+
+def word_hashes(data: bytes, which: int = 0) -> np.ndarray:
+    """64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` of a UTF-8 text; two independent ones (which = 0, 1) make 128 bits."""
+    words = data.split()
+    return np.fromiter(map(_HASHES[which].__getitem__, words), np.uint64, len(words))
 
 
 def windows(words: np.ndarray, k: int) -> np.ndarray:

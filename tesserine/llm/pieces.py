@@ -375,6 +375,7 @@ class Block:
         doc = np.searchsorted(text_start, start, "right") - 1
         # empty texts share their start with the next one: searchsorted gives the last, which holds the characters
         key = _spans_hash(mix(points.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D)), start, start + size)
+        key[size > self.LONG] = mix(np.flatnonzero(size > self.LONG).astype(np.uint64))  # a long chunk stands for itself
         _, rep, at = np.unique(key, return_index=True, return_inverse=True)
         short = size[rep] <= self.LONG
         score, loss, count, paths = np.zeros(len(rep)), np.full(len(rep), np.inf), np.zeros(len(rep), np.int64), []

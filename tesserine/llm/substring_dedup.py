@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tesserine.llm.common import mix, trimmed, windows, word_hashes
 
 LOWEST = -(2**63)  # stands for a null doc_id
-_SECOND = np.uint64(0xA0761D6478BD642F)
 #: Windows of a chunk, column by column and by place in the chunk: places then compress to next to nothing.
 _SPOTS = (("w", "<u8"), ("v", "<u8"), ("d", "<i8"), ("p", "<u4"))
 #: Covered windows and the earlier window with the same words.
@@ -24,14 +23,15 @@ def _bytes(t: str | None) -> bytes:
     return (t or "").encode("utf-8", "surrogatepass")
 
 
-def _chunks(batches: Iterable[pd.DataFrame], window: int, flush: int) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """The documents of at least a window of words as (doc_id, word hashes), in chunks of about `flush` words."""
+def _chunks(batches: Iterable[pd.DataFrame], window: int, flush: int) -> Iterator[list[tuple[int, np.ndarray, bytes]]]:
+    """The documents of at least a window of words as (doc_id, word hashes, text), in chunks of about `flush` words."""
     held, size = [], 0
     for pdf in batches:
         for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-            words = word_hashes(_bytes(text))
+            data = _bytes(text)
+            words = word_hashes(data)
             if len(words) >= window:
-                held.append((doc_id, words))
+                held.append((doc_id, words, data))
                 size += len(words)
                 if size >= flush:
                     yield held
@@ -51,7 +51,7 @@ def _emit_blocks(block: int, window: int, bits: int, flush: int):
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for docs in _chunks(batches, window, flush):
-            rolling = [windows(words, block) for _, words in docs]
+            rolling = [windows(words, block) for _, words, _ in docs]
             anchor = np.concatenate([np.arange(len(h)) % block == 0 for h in rolling])
             cls, at, n = np.unique(np.concatenate(rolling) >> np.uint64(40 - bits), return_inverse=True, return_counts=True)
             anchored = np.bincount(at, anchor, len(cls)) > 0
@@ -110,7 +110,7 @@ def _emit_windows(hits: Broadcast, block: int, window: int, bits: int, flush: in
         reach = window - block  # an anchor starts at most so far into a window
         for docs in _chunks(batches, window, flush):
             spots = []
-            for doc_id, words in docs:
+            for doc_id, words, data in docs:
                 cls = windows(words, block) >> np.uint64(40 - bits)
                 at = ((cls >> np.uint64(24)).astype(np.int64) << width) | _place(cls & np.uint64(0xFFFFFF), width)
                 hit = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1
@@ -121,15 +121,15 @@ def _emit_windows(hits: Broadcast, block: int, window: int, bits: int, flush: in
                 # an anchor lies at one of the first `block` places of each window that holds its whole block
                 near = start[seen[start + min(reach, block - 1) + 1] > seen[start]]
                 if len(near):
-                    # two hashes: equal windows are told by 128 bits
-                    spots.append((windows(words, window)[near], windows(mix(words + _SECOND), window)[near], np.full(len(near), doc_id, np.int64), near))
+                    # two independent hashes of each word: equal windows are told by 128 bits
+                    spots.append((windows(words, window)[near], windows(word_hashes(data, 1), window)[near], np.full(len(near), doc_id, np.int64), near))
             if not spots:
                 continue
             w, v, d, p = (np.concatenate(c) for c in zip(*spots, strict=True))
             order = np.lexsort((p, d, v, w))
             new = np.concatenate(([True], (w[order[1:]] != w[order[:-1]]) | (v[order[1:]] != v[order[:-1]])))
             first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]  # by place in order: the earliest with the same words
-            chunk = min((d for d, _ in docs if d != LOWEST), default=int(mix(w[:1]).view(np.int64)[0]))
+            chunk = min((d for d, _, _ in docs if d != LOWEST), default=int(mix(w[:1]).view(np.int64)[0]))
             part = (w >> np.uint64(64 - bits)).astype(np.int64)
             sent = order[new]
             sent = sent[np.lexsort((sent, part[sent]))]

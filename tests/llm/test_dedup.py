@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserine.llm.exact_dedup import drop_copies, exact_dedup
+from tesserine.llm.fingerprints import fingerprint_pairs
 from tesserine.llm.jaccard_join import Regions, Threshold, _short_lists, jaccard_components, one_of_each
 from tesserine.llm.substring_dedup import remove_repeats, repeated_runs
 
@@ -240,3 +241,20 @@ def test_projections_of_long_documents():
     columns = lambda rows: [pd.Series([x[k] for x in rows]) for k in range(4)]
     assert all(k for k, row in zip(keep(*columns(like)), like, strict=True) if row[4])
     assert not keep(*columns(unlike)).any()
+
+
+def thue_morse(n):
+    """Two words of n letters that polynomial hashes modulo a power of two can't tell apart."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_fool_polynomial_hashes(docs):
+    one, two = thue_morse(1024)
+    common = [f"w{k}" for k in range(19)]
+    rows = [(1, " ".join([*common, one])), (2, " ".join([*common, two])), (3, one), (4, two)]
+    assert [r.n_removed for r in remove_repeats(docs(rows)).collect()] == [0] * 4
+    got = {r.doc_id: r for r in jaccard_components(docs(rows), words=4, threshold=Threshold(100, 100)).collect()}
+    assert all(got[i].component_id == i for i in got)
+    found = {r.doc_id: r.fingerprint for r in fingerprint_pairs(docs(rows)).collect()}
+    assert len({found[3], found[4]}) == len({found[1], found[2]}) == 2
