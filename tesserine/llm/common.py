@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import itertools
 import tempfile
 import uuid
 import weakref
@@ -81,6 +82,12 @@ def trimmed(run: Callable[[Iterable[pd.DataFrame]], Iterator[pd.DataFrame]]) ->
     return all_of
 
 
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that df doesn't have, in any spelling of its letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for k in itertools.count() if (name := f"_{stem}{k or ''}") not in taken)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)

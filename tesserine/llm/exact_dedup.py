@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import ascii_lower, join_hot, materialize
+from tesserine.llm.common import ascii_lower, join_hot, materialize, unused
 
 
 def content_hash(text: Column) -> Column:
@@ -57,10 +57,11 @@ def drop_copies(docs: DataFrame, *, keep: str = "max") -> DataFrame:
     """
     _, classes = _classes(docs, keep)
     text = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumn("_hash", content_hash(text)).withColumn("_sha", F.sha2(text, 256))
-    stays = classes.select(F.col("_hash").alias("_h"), F.col("text_sha256").alias("_s"), F.col("keep_id").alias("_keep"), F.col("group_size").alias("_size"))
-    kept = rows.join(stays, (F.col("_hash") == F.col("_h")) & (F.col("_sha") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_keep")))
-    alone = kept.where(F.col("_size") == 1).select(*docs.columns)
+    names = [unused(docs, c) for c in ("hash", "sha", "keep", "size")]
+    h, sha, id_, size = map(F.col, names)
+    stays = classes.select("_hash", "text_sha256", "keep_id", "group_size").toDF(*names)
+    kept = docs.join(stays, (content_hash(text) == h) & (F.sha2(text, 256) == sha) & F.col("doc_id").eqNullSafe(id_))
+    alone = kept.where(size == 1).select(*docs.columns)
     full = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    several = kept.where(F.col("_size") > 1).groupBy("_hash", "_sha").agg(F.min_by(full, F.struct(F.col("text").cast("string"))).alias("_row"))
+    several = kept.where(size > 1).groupBy(h, sha).agg(F.min_by(full, F.struct(F.col("text").cast("string"))).alias("_row"))
     return alone.unionByName(several.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))

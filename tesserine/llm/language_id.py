@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import release, trimmed
+from tesserine.llm.common import release, trimmed, unused
 
 UNDETERMINED = "und"
 _ROWS = 16_384  # n-gram vectors that a worker keeps
@@ -123,7 +123,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 102
 
     Only text is read. A null text or one without a letter is "und" with score 0, as is every text if there are no
     profiles. Ties go to the first language by name; negative cosines count as 0. Columns named lang_pred or score
-    are replaced. Whole texts are encoded, row by row, without a shuffle.
+    are replaced, all others stay. Whole texts are encoded, row by row, without a shuffle.
     """
     names = sorted(profiles)
     matrix = np.array([profiles[k] for k in names], np.float64).reshape(len(names), dim)
@@ -146,13 +146,13 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 102
         release()
 
     udf = F.pandas_udf(predict, "lang_pred string, score double")
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "_pred")]
-    out = docs.select(*kept).withColumn("_pred", udf(F.col("text").cast("string")))
-    return out.select(*kept, F.col("_pred.lang_pred").alias("lang_pred"), F.col("_pred.score").alias("score"))
+    kept, name = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")], unused(docs, "pred")
+    out = docs.withColumn(name, udf(F.col("text").cast("string")))
+    return out.select(*kept, F.col(name)["lang_pred"].alias("lang_pred"), F.col(name)["score"].alias("score"))
 
 
-def weigh(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 1024, n: int = 3, seed: int = 7) -> DataFrame:
-    """docs' columns and `_seen`: lang_pred and score as `identify` gives them, own (the cosine with the prototype of
+def weigh(docs: DataFrame, profiles: dict[str, np.ndarray], name: str = "_seen", *, dim: int = 1024, n: int = 3, seed: int = 7) -> DataFrame:
+    """docs' columns and one called `name`: lang_pred and score as `identify` gives them, own (the cosine with the prototype of
     the row's lang, null without one) and grams (how many distinct n-grams the text has, 0 without a letter)."""
     names = sorted(profiles)
     at = {k: i for i, k in enumerate(names)}
@@ -176,10 +176,10 @@ def weigh(docs: DataFrame, profiles: dict[str, np.ndarray], *, dim: int = 1024,
         release()
 
     udf = F.pandas_udf(predict, "lang_pred string, score double, own double, grams long")
-    return docs.withColumn("_seen", udf(F.col("text").cast("string"), F.col("lang").cast("string")))
+    return docs.withColumn(name, udf(F.col("text").cast("string"), F.col("lang").cast("string")))
 
 
-def least_scores(seen: DataFrame, *, share: float = 0.3, least: int = 5) -> list[float | None]:
+def least_scores(seen: DataFrame, name: str = "_seen", *, share: float = 0.3, least: int = 5) -> list[float | None]:
     """By class of evidence (the whole part of log2 of the distinct n-grams) the least cosine of a text in a learned language.
 
     It is `share` of the median, to a thousandth, over all rows whose lang is the predicted one. A text's cosine grows
@@ -187,7 +187,7 @@ def least_scores(seen: DataFrame, *, share: float = 0.3, least: int = 5) -> list
     that of the next smaller one. Classes below `least` have none (null): their texts say too little to part a clean
     one from noise. seen comes from `weigh`; at most a thousand counts a class reach the driver.
     """
-    s = F.col("_seen")
+    s = F.col(name)
     agreed = seen.where((s["grams"] > 0) & (F.col("lang").cast("string") == s["lang_pred"]))
     cells = agreed.groupBy(evidence(s["grams"]).alias("cls"), F.round(s["score"] * 1000).cast("int").alias("cell")).agg(F.count("*").alias("n"))
     counts: dict[int, list[tuple[int, int]]] = {}

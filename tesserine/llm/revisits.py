@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import LOWER, UPPER, join_hot, materialize
+from tesserine.llm.common import HOT_SHARE, LOWER, UPPER, discard, join_hot, materialize
 
 #: Headers that a not-modified answer may carry and that replace those of the stored response (RFC 9110, 15.4.5).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
@@ -24,46 +24,60 @@ def canonical_url(url: Column) -> Column:
     return F.concat(host, path, F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(F.lit("")))
 
 
+_PIECES = 1024  # of a hot URL's bucket
+
+
 def resolve_revisits(records: DataFrame, *, bucket_s: int = 86_400) -> DataFrame:
     """One row a revisit: record_id, key, ts, status, refers_to, refers_ts, etag, headers, payload_digest.
 
-    records: record_id, url, ts (seconds), type ("response" or "revisit"), http_status, etag, last_modified, headers
-    map<string,string>, payload_digest. A revisit refers to the latest full response (type response, status 200) of its
-    canonical URL with an earlier ts (of equal ts, that with the largest record_id). status is "resolved" if a
-    validator that both carry agrees (etag without W/ first, else last_modified), "changed" if it differs,
+    records: record_id, url, ts (seconds as any number, or a timestamp), type ("response" or "revisit"), http_status, etag,
+    last_modified, headers map<string,string>, payload_digest. A revisit refers to the latest full response (type response, status
+    200) of its canonical URL with an earlier ts, by however little (of equal ts, that with the largest record_id). status is
+    "resolved" if a validator that both carry agrees (etag without W/ first, else last_modified), "changed" if it differs,
     "unchecked" if they share none, "missing" without an earlier response. A resolved or unchecked record gets the
     response's headers, permitted ones replaced by the revisit's, and its payload digest; others keep their own headers
     and have no digest. Of header names that differ in case only, the first in byte order (capitals first) stands for all
     where headers are merged. Null url or ts: missing. Repeated records are resolved each; extra columns are ignored; an
     empty table gives an empty result.
 
-    The as-of join runs in two steps, so that one URL may hold a third of all rows: records are dealt by URL and time
-    bucket, and what a bucket needs from earlier ones is the last response of each, one row a URL and bucket. Responses
-    come back by join_hot, as one of them may have any share of the revisits.
+    The as-of join runs on distinct (URL, ts), so that copies of a record cost one row, and in two steps: these are dealt by URL
+    and time bucket, and what a bucket needs from earlier ones is the last response of each. A URL's bucket with more
+    than a thousandth of them is cut in pieces of time; there are at most a thousand such. Responses and their revisits come back
+    by join_hot, as one of them may have any share of the rows.
     """
-    base = records.withColumn("key", canonical_url("url")).withColumn("_bucket", F.floor(F.col("ts") / bucket_s))
+    base = records.withColumn("key", canonical_url("url"))
     base = base.withColumn("_full", (F.col("type") == "response") & (F.col("http_status") == 200))
     usable = base.where(F.col("key").isNotNull() & F.col("ts").isNotNull() & (F.col("_full") | (F.col("type") == "revisit")))
-    name = F.when(F.col("_full"), F.struct("ts", "record_id"))
-    # the last response before each bucket, for all buckets that hold a record
-    lasts = usable.groupBy("key", "_bucket").agg(F.max(name).alias("_last"))
-    earlier = Window.partitionBy("key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = lasts.select("key", "_bucket", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    # inside a bucket the latest earlier response is the largest by (ts, record_id)
-    within = Window.partitionBy("key", "_bucket").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
-    revisits = usable.withColumn("_inside", F.max(name).over(within)).where(F.col("type") == "revisit")
-    revisits = revisits.join(carry, ["key", "_bucket"], "left").withColumn("_ref", F.coalesce("_inside", "_carry"))
+    times = usable.groupBy("key", "ts").agg(F.max(F.when(F.col("_full"), F.struct("record_id"))).alias("_here"), F.count_if(F.col("type") == "revisit").alias("_n"))
+    seconds = F.col("ts").cast("double") if records.schema["ts"].dataType.typeName() != "date" else F.col("ts").cast("timestamp").cast("double")
+    times = materialize(times.withColumn("_s", seconds).withColumn("_bucket", F.floor(F.col("_s") / bucket_s)), "times")
+    total = times.count()
+    hot = times.groupBy("key", "_bucket").agg(F.count("*").alias("_c"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
+    hot = hot.where(F.col("_c") > max(1, total // HOT_SHARE)).drop("_c")
+    piece = F.coalesce(F.floor(_PIECES * (F.col("_s") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))), F.lit(0))
+    cell = ["key", "_bucket", "_piece"]
+    dealt = times.join(F.broadcast(hot), ["key", "_bucket"], "left").select(*cell[:2], piece.alias("_piece"), "ts", "_here", "_n")
+    name = F.when(F.col("_here").isNotNull(), F.struct("ts", F.col("_here.record_id").alias("record_id")))
+    # the last response before each cell, for all cells that hold a record
+    lasts = dealt.groupBy(*cell).agg(F.max(name).alias("_last"))
+    earlier = Window.partitionBy("key").orderBy("_bucket", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carry = lasts.select(*cell, F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
+    # inside a cell the latest earlier response is the largest by (ts, record_id)
+    within = Window.partitionBy(*cell).orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
+    asked = dealt.withColumn("_inside", F.max(name).over(within)).where("_n > 0").join(carry, cell, "left")
+    asked = materialize(asked.select("key", "ts", "_n", F.coalesce("_inside", "_carry").alias("_ref")), "asked")
+    discard(times)
     # the response's own columns come back by its (key, ts, record_id)
     stored = F.struct("ts", "record_id", "etag", "last_modified", "headers", "payload_digest")
-    revisits = materialize(revisits.select("record_id", "key", "ts", "etag", "last_modified", "headers", "_ref"), "revisits")
-    asked = revisits.where(F.col("_ref").isNotNull()).groupBy("key", "_ref").agg(F.count("*").alias("_n"))
+    of = asked.where(F.col("_ref").isNotNull()).groupBy("key", "_ref").agg(F.count("*").alias("_m"))
     responses = usable.where(F.col("_full")).groupBy("key", F.struct("ts", "record_id").alias("_ref")).agg(F.max_by(stored, F.coalesce("payload_digest", F.lit(""))).alias("_response"))
-    responses = responses.join(asked, ["key", "_ref"])
-    joined = join_hot(revisits, responses, ["key", "_ref"], "_n", revisits.count(), how="left")
+    found = join_hot(asked, responses.join(of, ["key", "_ref"]), ["key", "_ref"], "_m", asked.count(), how="left").select("key", "ts", "_n", "_response")
+    cols = ["record_id", "key", "ts", "etag", "last_modified", "headers"]
+    revisits = usable.where(F.col("type") == "revisit").select(*cols)
+    joined = join_hot(revisits, found, ["key", "ts"], "_n", revisits.count(), how="left")
     missing = base.where((F.col("type") == "revisit") & (F.col("key").isNull() | F.col("ts").isNull()))
     missing = missing.withColumn("_response", F.lit(None).cast(joined.schema["_response"].dataType))
-    cols = ["record_id", "key", "ts", "etag", "last_modified", "headers", "_response"]
-    return _merged(joined.select(*cols).unionByName(missing.select(*cols)))
+    return _merged(joined.select(*cols, "_response").unionByName(missing.select(*cols, "_response")))
 
 
 def _merged(rows: DataFrame) -> DataFrame:

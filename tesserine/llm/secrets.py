@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import release, trimmed
+from tesserine.llm.common import release, trimmed, unused
 
 
 @dataclass(frozen=True)
@@ -285,8 +285,9 @@ def redact(docs: DataFrame, *, rules: tuple[Rule, ...] = BASE + MORE, mask: str
             yield pd.Series([masked(t, x, mask) if x else t for t, x in zip(texts, found, strict=True)])
         release()
 
-    out = docs.withColumn("_clean", F.pandas_udf(run, "string")(F.col("text").cast("string")))
+    clean = unused(docs, "clean")
+    out = docs.withColumn(clean, F.pandas_udf(run, "string")(F.col("text").cast("string")))
     if "n_chars" in docs.columns:
-        changed = ~F.col("_clean").eqNullSafe(F.col("text"))
-        out = out.withColumn("n_chars", F.when(changed, F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.withColumn("text", F.col("_clean")).select(*docs.columns)
+        changed = ~F.col(clean).eqNullSafe(F.col("text"))
+        out = out.withColumn("n_chars", F.when(changed, F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.withColumn("text", F.col(clean)).select(*docs.columns)

@@ -5,11 +5,9 @@ import random
 import re
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 
-from tesserine.llm.entries import ORACLES, QUERIES
 from tesserine.llm.lexical_search import Tree, top_documents
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -90,13 +88,3 @@ def test_bounds_hold_and_cut():
     assert sorted(best, reverse=True) == sorted(zip(score.tolist(), (-tree.ids).tolist()), reverse=True)[:10]
     leaves = [n for n in range(len(tree.lo)) if not tree.kids[n]]
     assert sum(bound[n] >= best[0][0] for n in leaves) < len(leaves) / 2  # the rest is never scored
-
-
-def test_registered_query(spark):
-    sf = "/root/testdata/sf0.001"
-    con = duckdb.connect()
-    for t in ("documents", "benchmark"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
-    want = con.execute(f"SELECT item_id, rank, doc_id, score FROM ({ORACLES['op11_lexical_search']})").fetchall()
-    got = [tuple(r) for r in QUERIES["op11_lexical_search"](spark, sf).select("item_id", "rank", "doc_id", "score").collect()]
-    assert sorted(got) == sorted(want)

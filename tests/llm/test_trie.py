@@ -5,11 +5,9 @@ import random
 import re
 import zlib
 
-import duckdb
 import pytest
 
 from tesserine.llm.conversation_trie import RESULT, prefix_trie, sequences, share_heads
-from tesserine.llm.entries import ORACLES, QUERIES
 
 SCHEMA = "conv_id long, turn long, role string, text string, depth long, key string, pid long"
 
@@ -79,13 +77,3 @@ def test_without_shared_heads_and_edges(spark):
     assert [r.depth for r in one] == ([0] if h else [1, 0])
     twice = prefix_trie(sequences(frame.where("conv_id = 1").union(frame.where("conv_id = 1")))).collect()
     assert sorted(r.depth for r in twice) == [0, 1, 2]
-
-
-def test_registered_query(spark):
-    sf = "/root/testdata/sf0.001"
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{sf}/conversations.parquet'")
-    cols = ", ".join(RESULT)
-    want = con.execute(f"SELECT {cols} FROM ({ORACLES['op12_conversation_trie']})").fetchall()
-    got = [tuple(r) for r in QUERIES["op12_conversation_trie"](spark, sf).select(*RESULT).collect()]
-    assert sorted(got, key=str) == sorted(want, key=str)

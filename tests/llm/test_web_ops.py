@@ -141,13 +141,13 @@ def cell(v):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_registered_query_against_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
-    got, want = QUERIES[name](spark, SMALL).toPandas(), con.sql(ORACLES[name]).df()
+    got, want = QUERIES[name](spark, SMALL), con.sql(ORACLES[name])
     cols = sorted(want.columns)
     assert sorted(got.columns) == cols
-    tidy = lambda df: df[cols].map(cell).sort_values(cols).to_numpy().tolist()
-    assert tidy(got) == tidy(want)
+    rows = lambda found: sorted((tuple(map(cell, r)) for r in found), key=str)
+    assert rows(map(tuple, got.select(*cols).collect())) == rows(want.select(", ".join(f'"{c}"' for c in cols)).fetchall())
 
 
 def test_pipeline(spark):
@@ -286,3 +286,43 @@ def test_url_verdicts_against_plain_counting(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string")
     got = {x.page_id: (x.host, x.path, x.rule, x.verdict) for x in filter_urls(frame, min_support=0.02, min_confidence=0.9).collect()}
     assert got == plain_verdicts(rows, 0.02, 0.9)
+
+
+@pytest.mark.parametrize("cast", ["double", "decimal(10,2)", "timestamp"])
+def test_responses_by_less_than_a_unit(spark, cast):
+    rows = [(1, "http://a.org/", 10.0, "response", 200, '"t"', None, None, "d1", None), (2, "http://a.org/", 10.5, "revisit", 304, '"t"', None, None, None, None)]
+    rows += [(3, "http://a.org/", 10.0, "revisit", 304, '"t"', None, None, None, None), (4, "http://a.org/", 10.25, "response", 200, '"t"', None, None, "d4", None)]
+    rows += [(5, "http://a.org/", 10.25, "response", 200, '"u"', None, None, "d5", None)]
+    schema = RECORDS.replace("ts long", "ts double")
+    assert schema != RECORDS
+    frame = spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast(cast))
+    got = {r.record_id: (r.status, r.refers_to) for r in resolve_revisits(frame).collect()}
+    assert got == {2: ("changed", 5), 3: ("missing", None)}
+
+
+def test_a_day_with_a_third_of_all_records(spark):
+    """Its records are cut in pieces of time and still find the latest earlier response, also in another piece."""
+    n = 9000
+    rows = spark.range(n).select(
+        F.col("id").alias("record_id"), F.when(F.col("id") % 3 == 0, F.lit("http://hot.org/")).otherwise(F.concat(F.lit("http://h.org/"), "id")).alias("url"),
+        (F.col("id") * 86400.0 / n).alias("ts"), F.when(F.col("id") % 3000 == 0, "response").otherwise("revisit").alias("type"),
+        F.when(F.col("id") % 3000 == 0, 200).otherwise(304).alias("http_status"), F.lit("t").alias("etag"), F.lit(None).cast("string").alias("last_modified"),
+        F.lit(None).cast("map<string,string>").alias("headers"), F.col("id").cast("string").alias("payload_digest"),
+    )
+    got = resolve_revisits(rows).where("key = 'hot.org'").collect()
+    assert len(got) == n // 3 - 3
+    assert all(r.refers_to == r.record_id // 3000 * 3000 for r in got)
+
+
+def test_stages_keep_columns_that_have_the_names_of_helpers(spark):
+    import corpus_pipeline
+
+    rows = [(k, f"the river walks under the old stone bridge number {k} every morning", "en", "s", 0, "a", "b", "c", "d", "e") for k in range(30)]
+    rows += [(90, rows[0][1].upper(), "en", "s", 0, "a", "b", "c", "d", "e"), (91, "password: hunter22hunter", "en", "s", 24, "a", "b", "c", "d", "e")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _seen string, _hash string, _sha string, _clean string, _pred string")
+    frame = frame.withColumn("_keep", F.lit("f")).withColumn("_size", F.lit("g"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, "")
+        assert frame.columns[5:] == ["_seen", "_hash", "_sha", "_clean", "_pred", "_keep", "_size"]
+    got = frame.collect()
+    assert got and {tuple(r)[5:] for r in got} == {("a", "b", "c", "d", "e", "f", "g")}
