@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserine.llm.common import discard, materialize, prepare
+from tesserine.llm.common import discard, materialize, prepare, unused
 from tesserine.llm.exact_dedup import drop_copies
 from tesserine.llm.jaccard_join import Threshold, one_of_each
 from tesserine.llm.language_id import evidence, fit_profiles, least_scores, weigh
@@ -27,9 +27,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     makes no difference.
     """
     prepare(spark)
-    seen = materialize(weigh(docs, fit_profiles(docs)), "languages")
-    s = F.col("_seen")
-    least = F.element_at(F.array(*[F.lit(b).cast("double") for b in least_scores(seen)]), evidence(s["grams"]) + 1)
+    name = unused(docs, "seen")
+    seen = weigh(docs, fit_profiles(docs), name)  # judged twice, for the bounds and for the rows: texts are not written for it
+    s = F.col(name)
+    least = F.element_at(F.array(*[F.lit(b).cast("double") for b in least_scores(seen, name)]), evidence(s["grams"]) + 1)
     found = seen.where((s["grams"] > 0) & (least.isNull() | (s["score"] >= least)))
     stays = least.isNull() | s["own"].isNull() | (s["own"] >= least)
     return found.withColumn("lang", F.coalesce(F.when(stays, F.col("lang")), s["lang_pred"])).select(*docs.columns)
