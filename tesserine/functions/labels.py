@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -154,6 +155,11 @@ def train_seed(arm: Column, seed: Column, rep: Column) -> Column:
     return F.pmod(F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("long"), F.lit(2**31 - 1))
 
 
+def train_seed_of(arm: str, seed: int, rep: int) -> int:
+    """The same training seed, on the driver."""
+    return int(hashlib.sha256(f"{arm}|{seed}|{rep}".encode()).hexdigest()[:12], 16) % (2**31 - 1)
+
+
 def fold_order(seed: int, patient: Column) -> Column:
     """The text that deals patients at random: the same in any engine."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), patient.cast("string")))

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -19,6 +19,7 @@ from tesserine.functions import metrics as M
 from tesserine.operators import profile
 from tesserine.operators.inspect import attention_weights
 from tesserine.operators.rollup import slides_to_patients, vector_mean
+from tesserine.sources import sinks
 
 FOLD = ["outer_fold", "inner_fold"]
 
@@ -170,14 +171,43 @@ def fit_genes(train: DataFrame, recipe: Recipe, part_rows: int = 20_000) -> Call
     partial = rows.groupBy("gene_id", "_part").applyInPandas(sums, f"gene_id {kind}, n long, xx array<double>, xz array<double>")
     heads = partial.groupBy("gene_id").applyInPandas(ridge, f"gene_id {kind}, w array<double>")
 
+    path = sinks.fresh(train.sparkSession, "heads")
+    heads.write.parquet(path)
+    heads = train.sparkSession.read.parquet(path)
+    n_heads = heads.count()
+
     def score(df: DataFrame) -> DataFrame:
-        each = df.crossJoin(heads)  # every gene is asked of every patient: the result has that many rows
-        dot = F.aggregate(F.zip_with(F.concat("features", F.array(F.lit(1.0))), "w", lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
-        return each.withColumn("pred", dot).drop("w", "features")
+        return blocked_product(df, heads, n_heads)
 
     return score
 
 
+def blocked_product(df: DataFrame, heads: DataFrame, n_heads: int, *, rows: int = 4096, genes: int = 256) -> DataFrame:
+    """Every row of df with the score of every head: df's columns but features, gene_id and pred.
+
+    heads: gene_id and w, the weights with the intercept last. Rows and heads are cut into blocks of about `rows` and `genes` by a hash of
+    their ids, and a task multiplies one block of each. A row moves once a block of heads, a head once a block of
+    rows; neither side is broadcast. The result has a row for every pair, as it is asked of every row.
+    """
+    parts, blocks = max(1, -(-df.count() // rows)), max(1, -(-n_heads // genes))
+    axis = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = df.withColumn("_p", F.pmod(F.xxhash64("patient_id"), F.lit(parts)).cast("int")).withColumn("_g", axis(blocks))
+    right = heads.select("gene_id", "w", F.pmod(F.xxhash64("gene_id"), F.lit(blocks)).cast("int").alias("_g")).withColumn("_p", axis(parts))
+    kept = [c for c in df.columns if c not in ("features", "gene_id", "pred")]
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept) + f", gene_id {heads.schema['gene_id'].dataType.simpleString()}, pred double"
+
+    def multiply(x: pa.Table, w: pa.Table) -> pa.Table:
+        if not (x.num_rows and w.num_rows):
+            return pa.table({c: x.column(c).slice(0, 0) for c in kept} | {"gene_id": w.column("gene_id").slice(0, 0), "pred": pa.array([], pa.float64())})
+        own = np.array(x.column("features").to_pylist(), float)
+        weights = np.array(w.column("w").to_pylist(), float)
+        pred = own @ weights[:, :-1].T + weights[:, -1]
+        each, head = np.repeat(np.arange(len(own)), len(weights)), np.tile(np.arange(len(weights)), len(own))
+        return pa.table({c: x.column(c).take(pa.array(each)) for c in kept} | {"gene_id": w.column("gene_id").take(pa.array(head)), "pred": pred.ravel()})
+
+    return left.groupBy("_p", "_g").cogroup(right.groupBy("_p", "_g")).applyInArrow(multiply, schema)
+
+
 FITS: dict[str, Callable[[DataFrame, Recipe], Callable[[DataFrame], DataFrame]]] = {
     "binary": fit_classification,
     "multiclass": fit_classification,
@@ -244,66 +274,9 @@ def random_head(df: DataFrame, seed: int, value: str = "pred") -> DataFrame:
     return df.withColumn(value, F.aggregate(weights, F.lit(0.0), lambda a, v: a + v))
 
 
-def sweep(items: DataFrame, split: DataFrame, recipes: Mapping[str, Recipe], folds: Sequence[tuple[int, int]], loss: Callable[[DataFrame, Recipe], float], threads: int = 4):
-    """Fit each recipe on fit, keep the one of least loss on validate, predict test: (predictions, choices, models).
-
-    items: slide_id, patient_id, label, features. Folds run side by side; each fit is a Spark job of its own.
-    """
-
-    def one(fold: tuple[int, int]):
-        outer, inner = fold
-        part = items.join(split.where((F.col("outer_fold") == outer) & (F.col("inner_fold") == inner)).select("patient_id", "category"), "patient_id")
-        tried = []
-        for name, recipe in recipes.items():
-            score = Task(recipe).fit(part.where(F.col("category") == "fit"))
-            tried.append((loss(score(part.where(F.col("category") == "validate")), recipe), name, score))
-        value, name, score = min(tried, key=lambda x: x[:2])
-        test = score(part.where(F.col("category") == "test")).drop("features", "category")
-        return (outer, inner, name, float(value)), test.withColumn("outer_fold", F.lit(outer)).withColumn("inner_fold", F.lit(inner)), score
-
-    with ThreadPoolExecutor(threads) as pool:
-        done = list(pool.map(one, folds))
-    preds = done[0][1]
-    for _, p, _ in done[1:]:
-        preds = preds.unionByName(p)
-    choices = items.sparkSession.createDataFrame([d[0] for d in done], "outer_fold int, inner_fold int, candidate string, loss double")
-    return preds, choices, {d[0][:2]: d[2] for d in done}
-
-
-def score_with_all(models: Mapping[tuple[int, int], Callable[[DataFrame], DataFrame]], items: DataFrame) -> DataFrame:
-    """An external or unlabelled cohort scored by every development fold."""
-    out = None
-    for (outer, inner), score in models.items():
-        rows = score(items).drop("features").withColumn("outer_fold", F.lit(outer)).withColumn("inner_fold", F.lit(inner))
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
-
 def score_predictions(preds: DataFrame, objective: str, value: str, key: str | None = None) -> DataFrame:
     """One model's raw predictions to (metric, n_patients, n_positive) at patient level."""
     _, metric, _ = M.resolve_metric(objective, key)
     patients = slides_to_patients(preds, [], value).withColumn("_all", F.lit(1))
     n = patients.agg(F.count("*").alias("n_patients"), F.sum((F.col("label") == 1).cast("int")).alias("n_positive")).withColumn("_all", F.lit(1))
     return metric(patients, ["_all"]).join(n, "_all").drop("_all")
-
-
-def run_trial(items: DataFrame, patients: DataFrame, recipe: Recipe, arm: str, field: str, seed: int, rep: int, git_sha: str) -> DataFrame:
-    """Draw, fit, score: the row of one trial (X12). Reps of a seed share its split and differ in their training seed,
-    which orders the rows that the fit sees: all of the drawn fit set. n_declared counts the drawn test patients, n_test
-    those that got a score."""
-    from tesserine.operators.splits import draw, split_digest
-
-    split = draw(patients.withColumn("field", F.lit(field)), seed, 0.3)
-    part = items.join(split.select("patient_id", "category"), "patient_id")
-    ts = L.train_seed(F.lit(arm), F.lit(seed), F.lit(rep))
-    train = part.where(F.col("category") == "fit").orderBy(F.xxhash64(ts, "patient_id"), "patient_id")
-    test = Task(recipe).fit(train)(part.where(F.col("category") == "test"))
-    got = score_predictions(test, recipe.objective, Task(recipe).value)
-    digest = split_digest(split).select("split_hash")
-    declared = split.where(F.col("category") == "test").agg(F.countDistinct("patient_id").cast("int").alias("n_declared"))
-    row = got.join(F.broadcast(digest)).join(F.broadcast(declared))  # one row each
-    return row.select(
-        F.lit(arm).alias("arm"), F.lit(field).alias("field"), F.lit(seed).alias("seed"), F.lit(rep).alias("rep"), "metric",
-        F.lit(M.resolve_metric(recipe.objective)[0]).alias("metric_key"), "n_declared", F.col("n_patients").cast("int").alias("n_test"),
-        "split_hash", ts.alias("train_seed"), F.lit(git_sha).alias("git_sha"),
-    )

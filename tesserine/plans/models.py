@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserine.functions import metrics as M
-from tesserine.operators import fit, rollup, splits
+from tesserine.operators import compare, fit, rollup, splits, train
 from tesserine.plans.fixtures import Frames
 from tesserine.plans.registry import ORACLES, QUERIES, _rounded, query
 from tesserine.sources import sinks
@@ -23,16 +23,14 @@ def _folds(items: DataFrame, n_outer: int) -> DataFrame:
     return splits.nested_cv(items.select(F.lit("kind").alias("field"), "patient_id", F.col("label").alias("stratum")), n_outer, 2, 42)
 
 
-def _loss(scored: DataFrame, recipe: fit.Recipe) -> float:
-    p = F.least(F.greatest(F.col("prob"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    return scored.agg(F.avg(-F.when(F.col("label") == 1, F.log(p)).otherwise(F.log(1 - p)))).first()[0]
+_FOLDS = [(o, i) for o in range(2) for i in range(2)]
 
 
 def x03_x10_t07_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two candidates on each of four folds; the better by validation loss predicts test."""
     items = _items(Frames(spark, sf_dir))
-    recipes = {"weak": fit.Recipe("binary", reg=1.0, max_iter=10), "strong": fit.Recipe("binary", reg=0.01, max_iter=10, class_weight="balanced")}
-    preds, _, _ = fit.sweep(items.drop("kind"), _folds(items, 2), recipes, [(o, i) for o in range(2) for i in range(2)], _loss)
+    recipes = {"weak": fit.Recipe("binary", reg=1.0), "strong": fit.Recipe("binary", reg=0.01, class_weight="balanced")}
+    preds, _, _ = train.sweep(items.drop("kind"), _folds(items, 2), recipes, _FOLDS)
     return _rounded(preds)
 
 
@@ -59,22 +57,33 @@ def x11_x13_x14_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cohort scored by all development folds, then its ensembles."""
     items = _items(Frames(spark, sf_dir))
     dev, ext = items.where(F.col("slide_id") % 2 == 0), items.where(F.col("slide_id") % 2 == 1)
-    _, _, models = fit.sweep(dev.drop("kind"), _folds(dev, 2), {"one": fit.Recipe("binary", max_iter=5)}, [(o, i) for o in range(2) for i in range(2)], _loss)
-    scored = fit.score_with_all(models, ext.drop("kind")).withColumn("field", F.lit("kind"))
+    _, _, heads = train.sweep(dev.drop("kind"), _folds(dev, 2), {"one": fit.Recipe("binary")}, _FOLDS)
+    scored = train.score_with_all(heads, ext.drop("kind")).withColumn("field", F.lit("kind"))
     return _rounded(rollup.external_ensembles(rollup.slides_to_patients(scored, ["field", "outer_fold", "inner_fold"])))
 
 
 def x12_resplit_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(Frames(spark, sf_dir)).drop("kind")
     patients = items.select("patient_id", F.col("label").alias("stratum"))
-    rows = [fit.run_trial(items, patients, fit.Recipe("binary", max_iter=5), "base", "kind", seed, rep, "none") for seed in (1, 2) for rep in (0, 1, 2)]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return _rounded(out)
+    return _rounded(train.run_trials(items, patients, fit.Recipe("binary"), "base", "kind", (1, 2), (0, 1, 2), "none"))
 
 
-for f in (x03_x10_t07_sweep, x04_regression_head, x05_survival_head, x07_gene_heads, x11_x13_x14_external, x12_resplit_trials):
+def x12_c06_c07_margin_of_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The margin that resplit trials of two arms give: what differs between reps of a seed by training alone."""
+    items = _items(Frames(spark, sf_dir)).drop("kind")
+    patients = items.select("patient_id", F.col("label").alias("stratum"))
+    trials = None
+    for arm, recipe in (("base", fit.Recipe("binary")), ("strict", fit.Recipe("binary", reg=0.3))):
+        one = train.run_trials(items, patients, recipe, arm, "kind", (1, 2, 3), (0, 1, 2), "none", how=train.Descent(epochs=4))
+        trials = one if trials is None else trials.unionByName(one)
+    path = sinks.fresh(spark, "trials")
+    trials.write.parquet(path)
+    trials = spark.read.parquet(path)
+    real = compare.real_deltas(trials, "base").groupBy("field").agg(F.avg("delta").alias("mean_delta"))
+    return _rounded(compare.margin(compare.null_deltas(trials)).join(real, "field"))
+
+
+for f in (x03_x10_t07_sweep, x04_regression_head, x05_survival_head, x07_gene_heads, x11_x13_x14_external, x12_resplit_trials, x12_c06_c07_margin_of_trials):
     QUERIES[f.__name__] = f
 
 query("x01_mean_pool", "", lambda t: fit.mean_pool(t.embeddings.select((F.col("vec_id") % 50).alias("slide_id"), F.transform("embedding", lambda v: v.cast("double")).alias("features"))).select("slide_id", F.col("features")[0].alias("first"), F.col("features")[63].alias("last")),
@@ -88,12 +97,6 @@ query("x06_losses", "preds bins", lambda t: fit.losses(t.preds.withColumn("logit
     s AS (SELECT outer_fold, -(CASE WHEN b > 0 THEN ln(1 - h[1]) ELSE 0 END + CASE WHEN b > 1 THEN ln(1 - h[2]) ELSE 0 END + CASE WHEN b > 2 THEN ln(1 - h[3]) ELSE 0 END) - CASE WHEN event = 1 THEN ln(h[b + 1]) ELSE ln(1 - h[b + 1]) END AS l FROM h)
 --
 SELECT field, outer_fold, avg(CASE WHEN label = 1 THEN -2 * ln(prob) ELSE -ln(1 - prob) END) AS loss FROM preds GROUP BY ALL UNION ALL SELECT 'os', outer_fold, avg(l) FROM s GROUP BY outer_fold""", "loss")
-query("x08_x18_fusion", "", lambda t: fit.fuse([t.embeddings.select(F.col("vec_id").alias("patient_id"), F.slice(F.transform("embedding", lambda v: v.cast("double")), 1 + 32 * k, 32).alias("features")) for k in range(2)]).select("patient_id", *[F.col("features")[32 * (k // 2) + k % 2].alias(f"f{k}") for k in range(4)]),
-    """x AS (SELECT vec_id AS patient_id, embedding[1:32] AS a, embedding[33:64] AS b FROM embeddings),
-    n AS (SELECT *, sqrt(list_sum(list_transform(a, lambda v: v::DOUBLE * v::DOUBLE))) AS na, sqrt(list_sum(list_transform(b, lambda v: v::DOUBLE * v::DOUBLE))) AS nb FROM x)
---
-SELECT patient_id, a[1]::DOUBLE / na AS f0, a[2]::DOUBLE / na AS f1, b[1]::DOUBLE / nb AS f2, b[2]::DOUBLE / nb AS f3 FROM n""", "f0 f1 f2 f3")
-
 
 
 # ---- streams, drained over what is there; each gives its batch twin's rows ----

@@ -263,17 +263,3 @@ def test_heads(spark):
         X.streams({"x": {}}, {})
     empty = X.losses(df.withColumn("logit", F.lit(0.0)).withColumn("label", F.lit(-1)), ["patient_id"], "binary")
     assert {r.loss for r in empty.collect()} == {0.0}
-
-
-def test_trial_fits_on_the_whole_fit_set_and_declares_the_drawn_test_set(spark, monkeypatch):
-    patients = spark.createDataFrame([(str(i), i % 2) for i in range(60)], "patient_id string, stratum int")
-    drawn = {r.patient_id: r.category for r in S.draw(patients.withColumn("field", F.lit("f")), 1, 0.3).collect()}
-    lost = min(p for p, c in drawn.items() if c == "test")
-    rows = [(i, str(i), [float(i % 2) + i % 7, 1.0 * i], i % 2) for i in range(60) if str(i) != lost]
-    items = spark.createDataFrame(rows, "slide_id int, patient_id string, features array<double>, label int")
-    seen, whole = [], X.Task.fit
-    monkeypatch.setattr(X.Task, "fit", lambda self, train: seen.append([r.patient_id for r in train.collect()]) or whole(self, train))
-    got = [X.run_trial(items, patients, X.Recipe("binary", max_iter=2), "a", "f", 1, rep, "x").first() for rep in (0, 1)]
-    assert all(sorted(s) == sorted(p for p, c in drawn.items() if c == "fit") for s in seen) and seen[0] != seen[1]
-    n = sum(c == "test" for c in drawn.values())
-    assert [(r.n_declared, r.n_test) for r in got] == [(n, n - 1)] * 2
