@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tesserine.functions.labels import argmax
-from tesserine.operators.ordered import row_numbers, running_min_above, running_sums
+from tesserine.operators.ordered import attach_quantiles, row_numbers, running_min_above, running_sums
 
 #: At and above it a probability counts as positive.
 CUT = 0.5
@@ -256,8 +256,9 @@ def kaplan_meier(df: DataFrame, by: Sequence[str], time: str = "time", event: st
 
 def km_by_risk(df: DataFrame, by: Sequence[str], time: str = "time", event: str = "event", risk: str = "risk") -> DataFrame:
     """Kaplan-Meier below and from the median risk on."""
-    median = df.groupBy(*by).agg(F.percentile(risk, 0.5).alias("_median"))
-    halves = df.join(F.broadcast(median), list(by)) if by else df.crossJoin(F.broadcast(median))
+    counts = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    median = attach_quantiles(counts, df, by, {"_q": (risk, (0.5,))}).select(*by, F.col("_q")[0].alias("_median"))
+    halves = df.join(median, list(by)) if by else df.crossJoin(F.broadcast(median))  # without a grouping one row
     return kaplan_meier(halves.withColumn("risk_group", F.when(F.col(risk) >= F.col("_median"), "high").otherwise("low")), [*by, "risk_group"], time, event)
 
 
@@ -280,13 +281,14 @@ def gene_summary(per_gene: DataFrame, by: Sequence[str] = (), top: int = 100) ->
     """Mean Pearson, mean of the best `top`, median Spearman, genes scored and in all."""
     ranked = row_numbers(per_gene.withColumn("_key", F.lit(0)), [*by, "_key"], "pearson", "gene_id", "_rank", descending=True)
     best = (F.col("_rank") <= top) & F.col("pearson").isNotNull()
-    return ranked.groupBy(*by).agg(
+    out = ranked.groupBy(*by).agg(
         F.avg("pearson").alias("mean_pearson"),
         F.avg(F.when(best, F.col("pearson"))).alias("top_mean_pearson"),
-        F.percentile("spearman", 0.5).alias("median_spearman"),
         F.count("pearson").alias("n_scored"),
         F.count("*").alias("n_genes"),
     )
+    out = attach_quantiles(out, ranked, by, {"_q": ("spearman", (0.5,))})
+    return out.select(*by, "mean_pearson", "top_mean_pearson", F.col("_q")[0].alias("median_spearman"), "n_scored", "n_genes")
 
 
 @F.pandas_udf(T.DoubleType())

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesserine.operators.ordered import with_pooled
+from tesserine.operators.ordered import attach_quantiles, with_pooled
 
 Metric = Callable[[DataFrame, Sequence[str]], DataFrame]
 
@@ -86,7 +86,8 @@ def null_deltas(trials: DataFrame) -> DataFrame:
 
 def margin(nulls: DataFrame, level: float = 0.95, by: Sequence[str] = ("field",)) -> DataFrame:
     """The level's quantile of absolute null differences, all arms pooled."""
-    return nulls.groupBy(*by).agg(F.percentile(F.abs("delta"), level).alias("margin"), F.stddev_samp("delta").alias("null_sd"), F.count("*").alias("n_null"))
+    out = nulls.groupBy(*by).agg(F.stddev_samp("delta").alias("null_sd"), F.count("*").alias("n_null"))
+    return attach_quantiles(out, nulls, by, {"_q": (F.abs("delta"), (level,))}).select(*by, F.col("_q")[0].alias("margin"), "null_sd", "n_null")
 
 
 def summarize_arms(trials: DataFrame, reference: str, level: float = 0.95) -> DataFrame:
@@ -94,10 +95,8 @@ def summarize_arms(trials: DataFrame, reference: str, level: float = 0.95) -> Da
     and the ratio of sds (C8)."""
     real, nulls = real_deltas(trials, reference), null_deltas(trials)
     m = margin(nulls, level)
-    joined = real.join(F.broadcast(m), "field")
-    q = F.percentile("delta", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    joined = real.join(m, "field")
     per = joined.groupBy("field", "arm").agg(
-        q.alias("_q"),
         F.avg("delta").alias("mean"),
         F.stddev_samp("delta").alias("sd"),
         F.count("*").alias("n_seeds"),
@@ -106,8 +105,9 @@ def summarize_arms(trials: DataFrame, reference: str, level: float = 0.95) -> Da
         F.first("margin").alias("margin"),
         F.first("null_sd").alias("null_sd"),
     )
+    per = attach_quantiles(per, joined, ["field", "arm"], {"_q": ("delta", (0.25, 0.5, 0.75))})
     per = per.select("field", "arm", "n_seeds", F.col("_q")[1].alias("median"), "mean", "sd", (F.col("sd") / F.sqrt("n_seeds")).alias("sem"), F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"), "share_above", "share_below", "margin", F.try_divide("sd", F.when(F.col("null_sd") != 0, F.col("null_sd"))).alias("sd_ratio"))
-    below = nulls.select("field", F.col("delta").alias("_null")).join(F.broadcast(per.select("field", "arm", "median")), "field")
+    below = nulls.select("field", F.col("delta").alias("_null")).join(per.select("field", "arm", "median"), "field")
     place = below.groupBy("field", "arm").agg(F.avg((F.col("_null") < F.col("median")).cast("double")).alias("null_percentile"))
     return per.join(place, ["field", "arm"])
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tesserine.functions import labels as L
 from tesserine.functions import metrics as M
-from tesserine.operators.ordered import row_numbers
+from tesserine.operators.ordered import attach_quantiles, row_numbers
 
 _MODEL = ("outer_fold", "inner_fold")
 
@@ -56,6 +56,7 @@ def rank_agreement(attention: DataFrame, model: Sequence[str] = _MODEL) -> DataF
     other = ranked.select("slide_id", "tile_idx", F.col("_m").alias("_m2"), F.col("_r").alias("_r2"))
     pairs = ranked.join(other, ["slide_id", "tile_idx"]).where(F.col("_m") < F.col("_m2"))
     each = pairs.groupBy("slide_id", "_m", "_m2").agg(F.count("*").alias("_n"), M.pearson(F.col("_r").cast("double"), F.col("_r2").cast("double")).alias("_rho"))
+    # a group holds a pair of models a row, whose number the study fixes
     found = each.where("_n >= 2").groupBy("slide_id").agg(F.round(F.percentile("_rho", 0.5), 12).alias("agreement"))
     return attention.select("slide_id").distinct().join(found, "slide_id", "left")
 
@@ -93,7 +94,8 @@ def curve_ensemble(curves: DataFrame, model: Sequence[str] = _MODEL, by: Sequenc
 def survival_context(slides: DataFrame, by: Sequence[str] = ("field",)) -> DataFrame:
     """Patients, events and median follow-up over patients, not slides."""
     patients = slides.groupBy(*by, "patient_id").agg(F.first("time").alias("time"), F.first("event").alias("event"), F.avg("risk").alias("risk"))
-    return patients.groupBy(*by).agg(F.count("*").alias("n_patients"), F.sum("event").alias("n_events"), F.percentile("time", 0.5).alias("median_follow_up"))
+    out = patients.groupBy(*by).agg(F.count("*").alias("n_patients"), F.sum("event").alias("n_events"))
+    return attach_quantiles(out, patients, by, {"_q": ("time", (0.5,))}).select(*by, "n_patients", "n_events", F.col("_q")[0].alias("median_follow_up"))
 
 
 def patient_curve(slides: DataFrame, by: Sequence[str] = ("field",)) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserine.functions.metrics import pearson
-from tesserine.operators.ordered import running_sums
+from tesserine.operators.ordered import attach_quantiles, running_sums
 from tesserine.plans.contract import Binning
 
 
@@ -17,7 +17,8 @@ def cuts(df: DataFrame, value: str, binning: Binning, by: Sequence[str] = ()) ->
     rows = df.where(F.col(value).isNotNull())
     if binning.edges:
         return rows.groupBy(*by).agg(F.array(*[F.lit(float(e)) for e in binning.edges]).alias("edges"), F.count("*").alias("n"))
-    return rows.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(p) for p in binning.probabilities()])).alias("edges"), F.count("*").alias("n"))
+    counts = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    return attach_quantiles(counts, rows, by, {"edges": (value, binning.probabilities())}).select(*by, "edges", "n")
 
 
 def field_coverage(valid: DataFrame) -> DataFrame:
@@ -51,10 +52,10 @@ def balanced_weights(df: DataFrame, classes: int, by: Sequence[str] = (), label:
 
 def time_bins(df: DataFrame, bins: int, by: Sequence[str], time: str = "time", event: str = "event") -> DataFrame:
     """Interior edges of time bins: quantiles of event times, or of all times where events are too few."""
-    probs = F.array(*[F.lit(j / bins) for j in range(1, bins)])
-    of_events = F.percentile(F.when(F.col(event) == 1, F.col(time)), probs)
-    enough = F.count_if(F.col(event) == 1) >= bins
-    return df.groupBy(*by).agg(F.array_distinct(F.when(enough, of_events).otherwise(F.percentile(time, probs))).alias("edges"), F.count_if(F.col(event) == 1).alias("n_events"))
+    probs = [j / bins for j in range(1, bins)]
+    counts = df.groupBy(*by).agg(F.count_if(F.col(event) == 1).alias("n_events"))
+    out = attach_quantiles(counts, df, by, {"_events": (F.when(F.col(event) == 1, F.col(time)), probs), "_all": (time, probs)})
+    return out.select(*by, F.array_distinct(F.when(F.col("n_events") >= bins, F.col("_events")).otherwise(F.col("_all"))).alias("edges"), "n_events")
 
 
 def gene_state(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -71,16 +72,11 @@ def matrix_summary(long: DataFrame) -> DataFrame:
     return a.withColumn("n_patients", F.lit(long.select("patient_id").distinct().count()))
 
 
-def _quartiles(value: str, probs: Sequence[float]) -> Column:
-    return F.percentile(value, F.array(*[F.lit(p) for p in probs]))
-
-
 def slides_per_patient(slides: DataFrame, skew: float = 5.0) -> DataFrame:
     """Mean, median, least and most slides a patient, flagged where the most is `skew` times the mean."""
     n = slides.groupBy("patient_id").agg(F.count("*").alias("n"))
-    return n.agg(
-        F.avg("n").alias("mean"), F.percentile("n", 0.5).alias("median"), F.min("n").alias("min"), F.max("n").alias("max"), (F.max("n") >= skew * F.avg("n")).alias("skewed")
-    )
+    out = n.agg(F.avg("n").alias("mean"), F.min("n").alias("min"), F.max("n").alias("max"), (F.max("n") >= skew * F.avg("n")).alias("skewed"))
+    return attach_quantiles(out, n, (), {"_q": ("n", (0.5,))}).select("mean", F.col("_q")[0].alias("median"), "min", "max", "skewed")
 
 
 def class_counts(df: DataFrame, label: str = "label", by: Sequence[str] = ()) -> DataFrame:
@@ -99,7 +95,8 @@ def imbalance(df: DataFrame, label: str = "label", by: Sequence[str] = (), ratio
 
 def continuous_summary(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """n, median, quartiles, range and missing."""
-    out = df.groupBy(*by).agg(_quartiles(value, (0.25, 0.5, 0.75)).alias("_q"), F.count(value).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"), F.count_if(F.col(value).isNull()).alias("missing"))
+    out = df.groupBy(*by).agg(F.count(value).alias("n"), F.min(value).alias("min"), F.max(value).alias("max"), F.count_if(F.col(value).isNull()).alias("missing"))
+    out = attach_quantiles(out, df, by, {"_q": (value, (0.25, 0.5, 0.75))})
     return out.select(*by, "n", F.col("_q")[1].alias("median"), F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"), "min", "max", "missing")
 
 
@@ -109,10 +106,9 @@ def survival_summary(df: DataFrame, by: Sequence[str] = (), time: str = "time",
         F.count("*").alias("n"),
         F.count_if(F.col(event) == 1).alias("events"),
         F.count_if(F.col(event) == 0).alias("censored"),
-        _quartiles(time, (0.25, 0.5, 0.75)).alias("_q"),
-        F.percentile(F.when(F.col(event) == 1, F.col(time)), 0.5).alias("median_event_time"),
     )
-    return out.select(*by, "n", "events", "censored", *[F.col("_q")[k].alias(f"q{k + 1}") for k in range(3)], "median_event_time")
+    out = attach_quantiles(out, df, by, {"_q": (time, (0.25, 0.5, 0.75)), "_e": (F.when(F.col(event) == 1, F.col(time)), (0.5,))})
+    return out.select(*by, "n", "events", "censored", *[F.col("_q")[k].alias(f"q{k + 1}") for k in range(3)], F.col("_e")[0].alias("median_event_time"))
 
 
 def fold_balance(split: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
@@ -145,9 +141,9 @@ def tile_counts(tiles: DataFrame, key: str = "slide_id") -> DataFrame:
 def tile_distribution(counts: DataFrame) -> DataFrame:
     """n, total, mean, range and percentiles of tiles a slide, with the spread p75 / max(p25, 1)."""
     out = counts.agg(
-        F.count("*").alias("n"), F.sum("n_tiles").alias("total"), F.avg("n_tiles").alias("mean"), F.min("n_tiles").alias("min"), F.max("n_tiles").alias("max"),
-        _quartiles("n_tiles", (0.05, 0.25, 0.5, 0.75, 0.95)).alias("_q"),
+        F.count("*").alias("n"), F.sum("n_tiles").alias("total"), F.avg("n_tiles").alias("mean"), F.min("n_tiles").alias("min"), F.max("n_tiles").alias("max")
     )
+    out = attach_quantiles(out, counts, (), {"_q": ("n_tiles", (0.05, 0.25, 0.5, 0.75, 0.95))})
     q = [F.col("_q")[k].alias(name) for k, name in enumerate(("p5", "p25", "median", "p75", "p95"))]
     return out.select("n", "total", "mean", "min", "max", *q, (F.col("_q")[3] / F.greatest(F.col("_q")[1], F.lit(1.0))).alias("spread"))
 
@@ -180,10 +176,11 @@ def retained(counts: DataFrame) -> DataFrame:
 
 def regression_context(df: DataFrame, by: Sequence[str] = (), pred: str = "pred", label: str = "label") -> DataFrame:
     """Range over labels and predictions, median absolute error, Pearson and the labels' SD."""
-    return df.groupBy(*by).agg(
+    out = df.groupBy(*by).agg(
         F.least(F.min(label), F.min(pred)).alias("low"),
         F.greatest(F.max(label), F.max(pred)).alias("high"),
-        F.percentile(F.abs(F.col(pred) - F.col(label)), 0.5).alias("median_abs_error"),
         pearson(pred, label).alias("pearson"),
         F.stddev_pop(label).alias("label_sd"),
     )
+    out = attach_quantiles(out, df, by, {"_q": (F.abs(F.col(pred) - F.col(label)), (0.5,))})
+    return out.select(*by, "low", "high", F.col("_q")[0].alias("median_abs_error"), "pearson", "label_sd")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tesserine.functions.labels import sigmoid
 from tesserine.functions.metrics import auroc
+from tesserine.operators.ordered import attach_quantiles
 
 
 def vector_mean(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
@@ -103,8 +104,9 @@ def per_gene_table(per_gene: DataFrame) -> DataFrame:
 
 def score_groups(df: DataFrame, by: Sequence[str] = (), score: str = "prob", label: str = "label") -> DataFrame:
     """Five-number summary of scores by true class."""
-    q = F.percentile(score, F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    out = df.where(F.col(label) >= 0).groupBy(*by, label).agg(F.count("*").alias("n"), q.alias("_q"))
+    rows = df.where(F.col(label) >= 0)
+    out = rows.groupBy(*by, label).agg(F.count("*").alias("n"))
+    out = attach_quantiles(out, rows, [*by, label], {"_q": (score, (0.0, 0.25, 0.5, 0.75, 1.0))})
     return out.select(*by, label, "n", *[F.col("_q")[k].alias(name) for k, name in enumerate(("min", "q1", "median", "q3", "max"))])
 
 
