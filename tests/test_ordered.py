@@ -66,4 +66,4 @@ def test_one_value_in_half_of_all_rows_spreads_over_tasks(spark):
     # the pieces of the tied value, as the operator deals them
     hot = df.where("x = 1.0").agg(F.min("name").alias("a"), F.max("name").alias("z"))
     sizes = df.where("x = 1.0").crossJoin(hot).groupBy(ordered._between(F.col("name"), "string", F.col("a"), F.col("z"), F.lit(11))).count()
-    assert sizes.agg(F.max("count")).first()[0] < n / 2 / 100
+    assert sizes.agg(F.max("count")).first()[0] <= n / 2 / 50
