@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,12 +70,69 @@ def draw(patients: DataFrame, seed: int, test: float, validate: float = 0.0, by:
     return place.join(F.broadcast(sized), [*by, "stratum"]).select(*by, "patient_id", category.alias("category"))
 
 
-def split_digest(split: DataFrame, by: Sequence[str] = ("field",)) -> DataFrame:
-    """First 16 hex digits of sha256 over stage:codes;... with sorted codes (L4). Splits are of bounded cohorts: the
-    digest's text holds every patient of a split once."""
-    stages = split.groupBy(*by, "category").agg(F.array_join(F.array_sort(F.collect_list(F.col("patient_id").cast("string"))), ",").alias("_codes"))
-    text = F.array_join(F.array_sort(F.collect_list(F.concat("category", F.lit(":"), "_codes"))), ";")
-    return stages.groupBy(*by).agg(F.substring(F.sha2(text, 256), 1, 16).alias("split_hash"))
+def _chunks(by: Sequence[str], most: int):
+    """Sorted rows to runs of codes of one group and stage, joined by commas; a run has at most `most` codes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, at, last, held = TaskContext.get().partitionId(), 0, None, []
+
+        def send(row: dict) -> pa.RecordBatch:
+            keys = {c: pa.array([row[c]], batch.schema.field(c).type) for c in (*by, "category")}
+            return pa.record_batch(keys | {"_pid": pa.array([pid], pa.int32()), "_at": pa.array([at], pa.int32()), "_codes": pa.array([",".join(held)], pa.string())})
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = tuple(row[c] for c in (*by, "category"))
+                if held and (key != last[0] or len(held) >= most):
+                    yield send(last[1])
+                    at, held = at + 1, []
+                last = (key, row)
+                held.append(row["_code"])
+        if held:
+            yield send(last[1])
+
+    return run
+
+
+def _streamed(by: Sequence[str]):
+    """Runs in order to the digest of each group: a run at a time is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple] = []
+        group = stage = state = schema = None
+        for batch in batches:
+            schema = batch.schema
+            for row in batch.to_pylist():
+                key = tuple(row[c] for c in by)
+                if state is None or key != group:
+                    if state is not None:
+                        done.append((*group, state.hexdigest()[:16]))
+                    group, stage, state = key, None, hashlib.sha256()
+                if row["category"] != stage:
+                    state.update(f"{'' if stage is None else ';'}{row['category']}:".encode())
+                else:
+                    state.update(b",")
+                stage = row["category"]
+                state.update(row["_codes"].encode())
+        if state is not None:
+            done.append((*group, state.hexdigest()[:16]))
+            yield pa.record_batch({c: pa.array([d[k] for d in done], schema.field(c).type) for k, c in enumerate(by)} | {"split_hash": pa.array([d[-1] for d in done], pa.string())})
+
+    return run
+
+
+def split_digest(split: DataFrame, by: Sequence[str] = ("field",), *, most: int = 10_000) -> DataFrame:
+    """First 16 hex digits of sha256 over stage:codes;... with stages and codes sorted (L4).
+
+    Rows are range-partitioned and sorted; each partition joins runs of at most `most` codes, and one stream a split hashes
+    these in order, so no task holds a split's codes. Rows without a code or category are left out."""
+    rows = split.select(*by, "category", F.col("patient_id").cast("string").alias("_code")).where(F.col("_code").isNotNull() & F.col("category").isNotNull())
+    order = [*by, "category", "_code"]
+    keys = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in by)
+    parts = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_chunks(by, most), f"{keys}{', ' if by else ''}category string, _pid int, _at int, _codes string")
+    dealt = runs.repartition(*by) if by else runs.repartition(1)
+    return dealt.sortWithinPartitions(*by, "category", "_pid", "_at").mapInArrow(_streamed(by), f"{keys}{', ' if by else ''}split_hash string")
 
 
 def population(split: DataFrame, version: str) -> DataFrame:

@@ -20,7 +20,7 @@ from tesserine.operators import rollup as R
 from tesserine.operators import splits as S
 from tesserine.plans.fixtures import Frames
 from tesserine.plans.registry import _AUROC, _KM, _OOF, BY, POOLED, _auroc_ctes, query
-from tesserine.sources import sheets, sinks
+from tesserine.sources import commits, sheets, sinks
 
 
 def _csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -120,7 +120,7 @@ def _trials(t: Frames) -> DataFrame:
     rows, files = sinks.fresh(t.spark, "trials"), sinks.fresh(t.spark, "trial-files")
     sinks.append_trial(t.trials.where("rep = 0"), rows)
     sinks.append_trial(t.trials.where("rep > 0"), rows)
-    t.spark.read.parquet(rows).write.option("maxRecordsPerFile", 1).json(files)
+    commits.read(t.spark, rows).write.option("maxRecordsPerFile", 1).json(files)
     return sheets.read_trials(t.spark, files).drop("git_sha")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tesserine.sources import commits
+
 #: Cells that count as missing when a sheet is read.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
@@ -30,7 +32,8 @@ def read_masks(spark: SparkSession, path: str | None) -> DataFrame:
 
 def read_manifest(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The seven manifest tables; split rows come joined to their definitions."""
-    tables = {t: spark.read.parquet(f"{root}/{t}") for t in MANIFEST}
+    at = commits.current(spark, root)
+    tables = {t: spark.read.parquet(f"{at}/{t}") for t in MANIFEST}
     tables["split"] = tables["split"].join(tables["split_definitions"], "split_version")
     return tables
 

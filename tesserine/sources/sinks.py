@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesserine.functions import labels as L
+from tesserine.sources import commits
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,31 +30,14 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def replace_dir(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
-    """Lets `write` fill a staging folder beside the target and swaps it in when that succeeded."""
-    jvm = spark.sparkContext._jvm
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    staged, old = (f"{target.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("staged", "old"))
-    try:
-        write(staged)
-    except BaseException:
-        fs.delete(path(staged), True)
-        raise
-    if fs.exists(path(target)):
-        fs.rename(path(target), path(old))
-    fs.rename(path(staged), path(target))
-    fs.delete(path(old), True)
-
-
-def write_manifest(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> None:
-    """All manifest tables under one folder, swapped in together."""
+def write_manifest(spark: SparkSession, tables: dict[str, DataFrame], root: str, after: int | None = None) -> int:
+    """All manifest tables under one root, committed together; see commits.replace."""
 
     def write(staged: str) -> None:
         for name, df in tables.items():
             df.write.parquet(f"{staged}/{name}")
 
-    replace_dir(spark, root, write)
+    return commits.replace(spark, root, write, after)
 
 
 def write_predictions(preds: DataFrame, path: str) -> None:
@@ -116,9 +100,9 @@ def upsert_masks(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(n, "image_path", "full_outer").select("image_path", F.coalesce("mask_path", "_new").alias("mask_path"))
 
 
-def append_trial(trial: DataFrame, path: str) -> None:
-    """One trial row appended; Spark's task commit makes it whole or absent."""
-    trial.coalesce(1).write.mode("append").partitionBy("field", "arm").parquet(path)
+def append_trial(trial: DataFrame, path: str) -> int:
+    """Trial rows appended by one commit: whole or absent, also beside other writers (S10); commits.read reads them."""
+    return commits.append(trial.coalesce(1), path)
 
 
 def write_record(record: DataFrame, path: str) -> None:

@@ -15,7 +15,7 @@ from tesserine.operators import panels as G
 from tesserine.operators import profile as A
 from tesserine.operators import rollup as R
 from tesserine.operators import splits as S
-from tesserine.sources import sheets, sinks
+from tesserine.sources import commits, sheets, sinks
 
 
 @pytest.fixture(scope="module")
@@ -209,21 +209,6 @@ def test_splits_round_trip(spark, tmp_path, patients):
         sheets.read_splits(spark, str(tmp_path / "bad")).collect()
 
 
-def test_a_failed_write_keeps_the_old_folder(spark, tmp_path):
-    target = str(tmp_path / "out")
-    sinks.replace_dir(spark, target, lambda p: spark.range(3).write.parquet(f"{p}/t"))
-
-    def fails(p):
-        spark.range(5).write.parquet(f"{p}/t")
-        raise RuntimeError("stop")
-
-    with pytest.raises(RuntimeError):
-        sinks.replace_dir(spark, target, fails)
-    assert spark.read.parquet(f"{target}/t").count() == 3 and os.listdir(tmp_path) == ["out"]
-    sinks.replace_dir(spark, target, lambda p: spark.range(5).write.parquet(f"{p}/t"))
-    assert spark.read.parquet(f"{target}/t").count() == 5 and os.listdir(tmp_path) == ["out"]
-
-
 def test_manifest_and_records_round_trip(spark, tmp_path):
     one = spark.createDataFrame([("v", "p", "fit")], "split_version string, patient_id string, category string")
     tables = {t: spark.range(2) for t in sheets.MANIFEST} | {"split": one, "split_definitions": one.select("split_version", F.lit("d").alias("description"))}
@@ -238,7 +223,7 @@ def test_manifest_and_records_round_trip(spark, tmp_path):
     trial = spark.createDataFrame([("a", "f", 1, 0, 0.5)], "arm string, field string, seed int, rep int, metric double")
     for _ in range(2):
         sinks.append_trial(trial, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    assert commits.read(spark, str(tmp_path / "t")).count() == 2
     state = spark.createDataFrame([("f", 0, 0, "rna", "1", 0, 0.0, 1.0)], "field string, outer_fold int, inner_fold int, stream string, gene_id string, pos int, mean double, std double")
     sinks.write_state(state, str(tmp_path / "s"))
     assert sinks.read_state(spark, str(tmp_path / "s"), "rna", "f").count() == 1
