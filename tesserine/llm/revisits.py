@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tesserine.llm.common import HOT_SHARE, LOWER, UPPER, discard, join_hot, materialize
 
@@ -49,7 +50,7 @@ def resolve_revisits(records: DataFrame, *, bucket_s: int = 86_400) -> DataFrame
     base = base.withColumn("_full", (F.col("type") == "response") & (F.col("http_status") == 200))
     usable = base.where(F.col("key").isNotNull() & F.col("ts").isNotNull() & (F.col("_full") | (F.col("type") == "revisit")))
     times = usable.groupBy("key", "ts").agg(F.max(F.when(F.col("_full"), F.struct("record_id"))).alias("_here"), F.count_if(F.col("type") == "revisit").alias("_n"))
-    seconds = F.col("ts").cast("double") if records.schema["ts"].dataType.typeName() != "date" else F.col("ts").cast("timestamp").cast("double")
+    seconds = (F.col("ts") if isinstance(records.schema["ts"].dataType, T.NumericType) else F.col("ts").cast("timestamp")).cast("double")
     times = materialize(times.withColumn("_s", seconds).withColumn("_bucket", F.floor(F.col("_s") / bucket_s)), "times")
     total = times.count()
     hot = times.groupBy("key", "_bucket").agg(F.count("*").alias("_c"), F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))

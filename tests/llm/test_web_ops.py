@@ -307,14 +307,14 @@ def test_url_verdicts_against_plain_counting(spark):
     assert got == plain_verdicts(rows, 0.02, 0.9)
 
 
-@pytest.mark.parametrize("cast", ["double", "decimal(10,2)", "timestamp"])
+@pytest.mark.parametrize("cast", ["double", "decimal(10,2)", "timestamp", "timestamp_ntz"])
 def test_responses_by_less_than_a_unit(spark, cast):
     rows = [(1, "http://a.org/", 10.0, "response", 200, '"t"', None, None, "d1", None), (2, "http://a.org/", 10.5, "revisit", 304, '"t"', None, None, None, None)]
     rows += [(3, "http://a.org/", 10.0, "revisit", 304, '"t"', None, None, None, None), (4, "http://a.org/", 10.25, "response", 200, '"t"', None, None, "d4", None)]
     rows += [(5, "http://a.org/", 10.25, "response", 200, '"u"', None, None, "d5", None)]
     schema = RECORDS.replace("ts long", "ts double")
     assert schema != RECORDS
-    frame = spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast(cast))
+    frame = spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp").cast(cast) if cast == "timestamp_ntz" else F.col("ts").cast(cast))
     got = {r.record_id: (r.status, r.refers_to) for r in resolve_revisits(frame).collect()}
     assert got == {2: ("changed", 5), 3: ("missing", None)}
 
