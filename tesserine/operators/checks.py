@@ -212,6 +212,16 @@ def uneven_keys(states: DataFrame, keys: Sequence[str], fold: Sequence[str] = ("
     return have.groupBy(*keys).agg(F.count("*").alias("n_folds")).where(F.col("n_folds") < total)
 
 
+def missing_inputs(rows: DataFrame, value: str) -> DataFrame:
+    """Rows whose input is missing: what the policy "refuse" refuses."""
+    return rows.where(F.col(value).isNull() | F.isnan(F.col(value).cast("double")))
+
+
+def other_panels(states: DataFrame, panel: str) -> DataFrame:
+    """Folds whose recorded state names another gene panel than the run does."""
+    return states.where(~F.col("panel").eqNullSafe(F.lit(panel))).select("field", "outer_fold", "inner_fold", "panel").distinct()
+
+
 def impute(z: Column, policy: str) -> Column:
     """A missing standardised input: an error, or the mean, which is 0."""
     if policy == "refuse":

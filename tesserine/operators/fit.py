@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tesserine.functions import labels as L
 from tesserine.functions import metrics as M
 from tesserine.operators import profile
+from tesserine.operators.checks import covered_by_all
 from tesserine.operators.inspect import attention_weights
 from tesserine.operators.rollup import slides_to_patients, vector_mean
 from tesserine.sources import sinks
@@ -46,13 +47,35 @@ def fuse(branches: Sequence[DataFrame], key: str = "patient_id") -> DataFrame:
     return out.select(key, F.concat(*[F.col(f"_f{k}") for k in range(len(branches))]).alias("features"))
 
 
-def streams(spec: Mapping[str, Mapping[str, object]], known: Mapping[str, Callable[..., DataFrame]]) -> dict[str, DataFrame]:
-    """Named input frames from a spec; an unknown modality is refused."""
+@dataclass(frozen=True)
+class Modality:
+    """A kind of input: its frame, and, if it can tell, the patients that it has."""
+
+    frame: Callable[..., DataFrame]
+    coverage: Callable[..., DataFrame] | None = None
+
+    def __call__(self, **options) -> DataFrame:
+        return self.frame(**options)
+
+
+def _known(spec: Mapping[str, Mapping[str, object]], known: Mapping[str, Callable[..., DataFrame]]) -> None:
     if lost := sorted(set(spec) - set(known)):
         raise ValueError(f"unknown modalities: {', '.join(lost)}")
+
+
+def streams(spec: Mapping[str, Mapping[str, object]], known: Mapping[str, Callable[..., DataFrame]]) -> dict[str, DataFrame]:
+    """Named input frames from a spec; an unknown modality is refused."""
+    _known(spec, known)
     return {name: known[name](**options) for name, options in spec.items()}
 
 
+def covered_patients(patients: DataFrame, spec: Mapping[str, Mapping[str, object]], known: Mapping[str, Callable[..., DataFrame]]) -> DataFrame:
+    """The patients that every required modality has; one that can't tell its coverage asks for nothing."""
+    _known(spec, known)
+    told = [known[name].coverage(**options) for name, options in spec.items() if getattr(known[name], "coverage", None)]
+    return covered_by_all([patients, *told])
+
+
 def ungated(inputs: Sequence[str], required: Sequence[str]) -> list[str]:
     """Modalities that a recipe uses and the study doesn't require."""
     return [m for m in inputs if m not in required]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tesserine.functions import labels as L
 from tesserine.functions import metrics as M
-from tesserine.operators.ordered import attach_quantiles, row_numbers
+from tesserine.operators.ordered import as_of, attach_quantiles, row_numbers, running_sums
 
 _MODEL = ("outer_fold", "inner_fold")
 
@@ -76,19 +76,20 @@ def survival_curves(preds: DataFrame, by: Sequence[str] = ("slide_id",)) -> Data
 def survival_at(curves: DataFrame, times: DataFrame, by: Sequence[str] = ("slide_id",)) -> DataFrame:
     """S(t) of each curve at each time: the step of the last edge at or before it, 1 before the first.
 
-    times has the curve's key and t. Edges and times are one sorted stream, so no time meets all edges.
+    times has the curve's key and t. An as-of join, so no time meets all edges.
     """
-    marks = curves.select(*by, "t", "s", F.lit(0).alias("_ask")).unionByName(times.select(*by, "t", F.lit(None).cast("double").alias("s"), F.lit(1).alias("_ask")))
-    w = Window.partitionBy(*by).orderBy("t", "_ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return marks.withColumn("s", F.coalesce(F.last("s", ignorenulls=True).over(w), F.lit(1.0))).where("_ask = 1").drop("_ask")
+    return as_of(times, curves, by, "t", ["s"]).withColumn("s", F.coalesce("s", F.lit(1.0)))
 
 
 def curve_ensemble(curves: DataFrame, model: Sequence[str] = _MODEL, by: Sequence[str] = ("slide_id",)) -> DataFrame:
-    """Mean survival over models on the union of their edges."""
-    grid = curves.select(*by, "t").distinct()
-    models = curves.select(*by, *model).distinct()
-    asked = models.join(grid, list(by))
-    return survival_at(curves, asked, [*by, *model]).groupBy(*by, "t").agg(F.avg("s").alias("s"), F.count("*").alias("n_models"))
+    """Mean survival over models on the union of their edges.
+
+    A model's curve changes at its own edges only, so the sum over models is a running sum of these steps along the
+    union: no model meets the edges of the others."""
+    steps = curves.withColumn("_step", F.col("s") - F.lag("s", 1, 1.0).over(Window.partitionBy(*by, *model).orderBy("t")))
+    models = curves.groupBy(*by).agg(F.count_distinct(F.struct(*model)).alias("n_models"))
+    grid = running_sums(steps.groupBy(*by, "t").agg(F.sum("_step").alias("_step")), by, "t", ["_step"])
+    return grid.join(models, list(by)).select(*by, "t", (1 + F.col("cum__step") / F.col("n_models")).alias("s"), "n_models")
 
 
 def survival_context(slides: DataFrame, by: Sequence[str] = ("field",)) -> DataFrame:

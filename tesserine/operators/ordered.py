@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tesserine.sources import sinks
 
@@ -42,6 +43,27 @@ def running_sums(df: DataFrame, by: Sequence[str], order: str, values: Sequence[
     return out.select(*df.columns, *[(F.col(f"_c_{v}") + F.sum(v).over(inside)).alias(f"cum_{v}") for v in values])
 
 
+def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, values: Sequence[str]) -> DataFrame:
+    """left with the values of the last row of right in its group at or before its `on` (a number or a time); nulls before the first.
+
+    Of right rows with one `on` the largest by values counts. Both sides make one stream, cut into buckets of `on`: inside a bucket
+    a window finds the last row, and what a bucket needs from earlier ones is the last row of each, carried over a small table. So no
+    left row meets more than one right row, and a group may have any size. Rows of left without `on` get nulls."""
+    last = F.struct(*[F.col(v) for v in values])
+    marks = right.where(F.col(on).isNotNull()).select(*by, on, F.lit(0).alias("_ask"), last.alias("_v"), F.lit(None).cast(left.schema).alias("_row"))
+    asked = left.select(*by, on, F.lit(1).alias("_ask"), F.lit(None).cast(marks.schema["_v"].dataType).alias("_v"), F.struct(*left.columns).alias("_row"))
+    at = F.col(on) if isinstance(left.schema[on].dataType, T.NumericType) else F.col(on).cast("timestamp")
+    rows = marks.unionByName(asked).withColumn("_b", bucket(at.cast("double")))
+    cell = [*by, "_b"]
+    inside = Window.partitionBy(*cell).orderBy(F.col(on), "_ask", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy(*cell).agg(F.max(F.when(F.col("_ask") == 0, F.struct(on, "_v"))).alias("_end"))
+    ends = ends.select(*cell, F.last("_end", ignorenulls=True).over(before)["_v"].alias("_carry"))
+    found = rows.withColumn("_own", F.last("_v", ignorenulls=True).over(inside)).where("_ask = 1").join(ends, cell, "left")
+    value = F.when(F.col(f"_row.{on}").isNotNull(), F.coalesce("_own", "_carry"))
+    return found.select("_row", value.alias("_got")).select("_row.*", *[F.col(f"_got.{v}").alias(v) for v in values])
+
+
 HOT_SHARE = 1000  # a value with more than one row in so many is hot; there are fewer such values
 PIECES = 1 << 16  # of a hot value, by its tie key
 

@@ -67,3 +67,16 @@ def test_one_value_in_half_of_all_rows_spreads_over_tasks(spark):
     hot = df.where("x = 1.0").agg(F.min("name").alias("a"), F.max("name").alias("z"))
     sizes = df.where("x = 1.0").crossJoin(hot).groupBy(ordered._between(F.col("name"), "string", F.col("a"), F.col("z"), F.lit(11))).count()
     assert sizes.agg(F.max("count")).first()[0] <= n / 2 / 50
+
+
+def test_as_of_join_against_a_scan(spark):
+    r = random.Random(4)
+    moment = lambda: r.choice([None, 0.0, r.uniform(-5, 5), float(r.randrange(-3, 3)), r.gauss(0, 1e6)])
+    right = [(r.choice("ab"), moment(), r.randrange(100), "x") for _ in range(150)]
+    left = [(k, r.choice("abc"), moment(), "l") for k in range(200)]
+    got = ordered.as_of(spark.createDataFrame(left, "id int, g string, t double, _row string"), spark.createDataFrame(right, "g string, t double, v int, _row string"), ["g"], "t", ["v"])
+    assert got.columns == ["id", "g", "t", "_row", "v"]
+    found = {q.id: q.v for q in got.collect()}
+    for k, g, t, _ in left:
+        earlier = [(u, v) for h, u, v, _ in right if h == g and u is not None and t is not None and u <= t]
+        assert found[k] == (max(earlier)[1] if earlier else None)

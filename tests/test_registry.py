@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tesserine.plans import models, roundtrips  # noqa: F401  register their queries
+from tesserine.plans import endpoints, models, roundtrips  # noqa: F401  register their queries
 from tesserine.plans.registry import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
