@@ -64,6 +64,8 @@ def discard(*tables: DataFrame) -> None:
 
 def release() -> None:
     """Give a Python worker's free memory back: idle workers stay beside those of the next stage."""
+    for kept in _HASHES:
+        kept.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -175,7 +175,8 @@ def weigh(docs: DataFrame, profiles: dict[str, np.ndarray], name: str = "_seen",
         enc.clear()
         release()
 
-    udf = F.pandas_udf(predict, "lang_pred string, score double, own double, grams long")
+    # else a filter and what stands above it would each evaluate it
+    udf = F.pandas_udf(predict, "lang_pred string, score double, own double, grams long").asNondeterministic()
     return docs.withColumn(name, udf(F.col("text").cast("string"), F.col("lang").cast("string")))
 
 
