@@ -299,17 +299,24 @@ def erfc(x: pd.Series) -> pd.Series:
     return x.map(lambda v: None if v is None or v != v else f(v)).astype("float64")
 
 
+def fisher_z(r: Column, n: Column) -> Column:
+    """The size of Fisher's z of a correlation, in standard deviations."""
+    inside = F.greatest(F.lit(-0.999999), F.least(F.lit(0.999999), r))
+    return F.abs(F.atanh(inside)) * F.sqrt(F.greatest(n - 3, F.lit(0)))
+
+
 def fisher_p(r: Column, n: Column) -> Column:
     """Two-sided p of a correlation by Fisher's z."""
-    inside = F.greatest(F.lit(-0.999999), F.least(F.lit(0.999999), r))
-    return erfc(F.abs(F.atanh(inside)) * F.sqrt(F.greatest(n - 3, F.lit(0))) / F.sqrt(F.lit(2.0)))
+    return erfc(fisher_z(r, n) / F.sqrt(F.lit(2.0)))
+
 
+def benjamini_hochberg(df: DataFrame, by: Sequence[str], p: str, tie: str, statistic: str | None = None) -> DataFrame:
+    """df with rank, m and q_value: the step-up adjustment over each group's defined p-values.
 
-def benjamini_hochberg(df: DataFrame, by: Sequence[str], p: str, tie: str) -> DataFrame:
-    """df with rank, m and q_value: the step-up adjustment over each group's defined p-values."""
+    A statistic that falls as p grows gives the ranks where it is named: far tails, of which p is 0 to a double, keep their order."""
     keys = [*by, "_key"]
     rows = df.where(F.col(p).isNotNull()).withColumn("_key", F.lit(0))
-    ranked = row_numbers(rows, keys, p, tie, "rank")
+    ranked = row_numbers(rows, keys, statistic or p, tie, "rank", descending=statistic is not None)
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("m"))
     out = ranked.join(sizes, keys).withColumn("_raw", F.col(p) * F.col("m") / F.col("rank"))
     out = running_min_above(out, keys, "rank", "_raw", "_least")

@@ -183,7 +183,7 @@ def _fisher(r: str, n: str) -> str:
 _STEP_UP = """k AS (SELECT *, row_number() OVER (ORDER BY {o}, gene_id) AS rank, count(*) OVER () AS m FROM {t} WHERE {p} IS NOT NULL),
     bh AS (SELECT *, least(1.0, min({p} * m / rank) OVER (ORDER BY rank DESC)) AS q_value FROM k)"""
 
-query("m16_m17_d07_significant_genes", "genes", lambda t: M.benjamini_hochberg(M.gene_pearson(t.genes).withColumn("p_value", M.fisher_p(F.col("pearson"), F.col("n"))), [], "p_value", "gene_id").select("gene_id", "p_value", "rank", "m", "q_value"),
+query("m16_m17_d07_significant_genes", "genes", lambda t: M.benjamini_hochberg(M.gene_pearson(t.genes).withColumn("p_value", M.fisher_p(F.col("pearson"), F.col("n"))).withColumn("z", M.fisher_z(F.col("pearson"), F.col("n"))), [], "p_value", "gene_id", "z").select("gene_id", "p_value", "rank", "m", "q_value"),
     f"""g AS (SELECT gene_id, count(*) AS n, corr(pred, label) AS r FROM genes GROUP BY gene_id), pv AS (SELECT gene_id, abs(atanh(greatest(-0.999999, least(0.999999, r)))) * sqrt(n - 3) AS z, {_fisher("r", "n")} AS p_value FROM g), {_STEP_UP.format(p="p_value", o="-z", t="pv")}
 --
 SELECT gene_id, p_value, CAST(rank AS INT) AS rank, m, q_value FROM bh""", "p_value q_value")

@@ -211,3 +211,11 @@ def test_beats_random_by_each_criterion(spark):
             assert x.q_value == pytest.approx(q[x.gene_id]) and x.p_better == pytest.approx(plain[x.gene_id][3])
         else:
             assert x.q_value is None and not x.beats
+
+
+def test_ranks_of_p_values_that_are_0(spark):
+    """The largest z comes first although no double tells the p-values apart."""
+    rows = [(f"g{k}", r, 50_000) for k, r in enumerate([0.43, 0.47, 0.45])]
+    p = spark.createDataFrame(rows, "gene_id string, r double, n long").select("gene_id", M.fisher_z(F.col("r"), F.col("n")).alias("z"), M.fisher_p(F.col("r"), F.col("n")).alias("p"))
+    got = M.benjamini_hochberg(p, [], "p", "gene_id", "z").collect()
+    assert {x.p for x in got} == {0.0} and {x.gene_id: x["rank"] for x in got} == {"g1": 1, "g2": 2, "g0": 3}
