@@ -79,6 +79,26 @@ def test_baskets_are_bounded(spark):
     assert mine_rules(spark.createDataFrame([(r.tokens, r.verdict) for r in got], "tokens array<string>, verdict string"), min_support=0.1, min_confidence=0.9).count() > 0
 
 
+def test_the_rarer_tokens_of_long_urls_count(spark):
+    """What tells blocked pages apart is the least frequent of twenty tokens, and of forty that are in all of their URLs."""
+    fixed = "/".join(f"t{k}" for k in range(40))
+    rows = [f"http://a{i}.net/es/{fixed}/bad" for i in range(20)] + [f"http://b{i}.net/fr/{fixed}/bad" for i in range(20)] + [f"http://c{i}.com/{fixed}/ok" for i in range(30)]
+    rows += ["http://x.org/bad", "http://y.org/t0/t1/ok", "http://z.org/t0"]
+    got = {r.page_id: r.verdict for r in filter_urls(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")).collect()}
+    assert [got[70 + k] for k in range(3)] == ["block", "allow", "allow"]
+
+
+def test_both_ways_of_mining_give_the_same_rules(spark):
+    r = random.Random(3)
+    baskets = []
+    for _ in range(300):
+        own = {f"t{r.randrange(7)}" for _ in range(4)} | ({"u", "v"} if r.random() < 0.5 else set()) | {"all"}
+        baskets.append((sorted(own), "block" if {"t0", "t1"} <= own or r.random() < 0.2 else "allow"))
+    labelled = spark.createDataFrame(baskets, "tokens array<string>, verdict string")
+    said = [sorted((tuple(x["items"]), x["verdict"], round(x["confidence"], 12), round(x["support"], 12)) for x in mine_rules(labelled, min_support=0.02, min_confidence=0.7, most_tokens=m).collect()) for m in (12, 1)]
+    assert said[0] == said[1] and any(len(x[0]) > 2 for x in said[0])
+
+
 def test_mined_rules_match_as_sets(spark):
     r = random.Random(1)
     baskets = [([f"t{r.randrange(6)}" for _ in range(4)], None) for _ in range(200)]
