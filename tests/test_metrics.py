@@ -219,3 +219,16 @@ def test_ranks_of_p_values_that_are_0(spark):
     p = spark.createDataFrame(rows, "gene_id string, r double, n long").select("gene_id", M.fisher_z(F.col("r"), F.col("n")).alias("z"), M.fisher_p(F.col("r"), F.col("n")).alias("p"))
     got = M.benjamini_hochberg(p, [], "p", "gene_id", "z").collect()
     assert {x.p for x in got} == {0.0} and {x.gene_id: x["rank"] for x in got} == {"g1": 1, "g2": 2, "g0": 3}
+
+
+def test_multiclass_metrics_evaluate_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        seen.add(1)
+        return row
+
+    rows = [("a", k % 3, [0.2 + k % 5 / 10, 0.3, 0.5 - k % 5 / 10]) for k in range(60)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(counted), "g string, label int, probs array<double>")
+    got = M.multiclass_metrics(df, ["g"], 3).collect()
+    assert got[0].n == 60 and seen.value == 60
