@@ -43,24 +43,48 @@ def running_sums(df: DataFrame, by: Sequence[str], order: str, values: Sequence[
     return out.select(*df.columns, *[(F.col(f"_c_{v}") + F.sum(v).over(inside)).alias(f"cum_{v}") for v in values])
 
 
+GROUP_ROWS = 1 << 20  # of a group that one window takes whole; a larger one is cut
+TASK_ROWS = 400_000  # of a shuffle that is dealt by the number of rows
+
+
+def dealt(df: DataFrame, rows: int, keys: Sequence[str]) -> DataFrame:
+    """df hashed by keys into partitions of about TASK_ROWS rows, where its `rows` rows are more than the session's partitions take."""
+    parts = -(-rows // TASK_ROWS)
+    return df.repartition(parts, *keys) if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
+def parted(rows: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """rows of the groups of up to GROUP_ROWS rows, and those of larger groups, whose list is broadcast: of N rows it has N / GROUP_ROWS at most."""
+    large = rows.groupBy(*[F.col(c).alias(f"_in_{c}") for c in by]).agg(F.count("*").alias("_n")).where(F.col("_n") > GROUP_ROWS).drop("_n")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_in_{c}"))
+    return rows.join(F.broadcast(large), same, "left_anti"), rows.join(F.broadcast(large), same, "left_semi")
+
+
 def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, values: Sequence[str]) -> DataFrame:
     """left with the values of the last row of right in its group at or before its `on` (a number or a time); nulls before the first.
 
-    Of right rows with one `on` the largest by values counts. Both sides make one stream, cut into buckets of `on`: inside a bucket
-    a window finds the last row, and what a bucket needs from earlier ones is the last row of each, carried over a small table. So no
-    left row meets more than one right row, and a group may have any size. Rows of left without `on` get nulls."""
+    Of right rows with one `on` the largest by values counts. Both sides make one stream, in which a window finds the last row; groups of
+    more than GROUP_ROWS rows are cut into buckets of `on`: inside a bucket a window finds the last row, and what a bucket needs from earlier ones is the last row of each, carried over a small table. So no
+    left row meets more than one right row, and a group may have any size. Rows of left without `on`
+    or without a group get nulls."""
     last = F.struct(*[F.col(v) for v in values])
-    marks = right.where(F.col(on).isNotNull()).select(*by, on, F.lit(0).alias("_ask"), last.alias("_v"), F.lit(None).cast(left.schema).alias("_row"))
+    marks = right.where(F.col(on).isNotNull()).dropna(subset=list(by)).select(*by, on, F.lit(0).alias("_ask"), last.alias("_v"), F.lit(None).cast(left.schema).alias("_row"))
     asked = left.select(*by, on, F.lit(1).alias("_ask"), F.lit(None).cast(marks.schema["_v"].dataType).alias("_v"), F.struct(*left.columns).alias("_row"))
     at = F.col(on) if isinstance(left.schema[on].dataType, T.NumericType) else F.col(on).cast("timestamp")
-    rows = marks.unionByName(asked).withColumn("_b", bucket(at.cast("double")))
+    rows = marks.unionByName(asked)
+    small, large = parted(rows, by)
+    last_of = lambda w: F.last("_v", ignorenulls=True).over(w.orderBy(F.col(on), "_ask", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    small = small.withColumn("_found", last_of(Window.partitionBy(*by))).where("_ask = 1").select("_row", "_found")
+    large = large.withColumn("_b", bucket(at.cast("double")))
     cell = [*by, "_b"]
-    inside = Window.partitionBy(*cell).orderBy(F.col(on), "_ask", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    ends = rows.groupBy(*cell).agg(F.max(F.when(F.col("_ask") == 0, F.struct(on, "_v"))).alias("_end"))
+    ends = large.groupBy(*cell).agg(F.max(F.when(F.col("_ask") == 0, F.struct(on, "_v"))).alias("_end"))
     ends = ends.select(*cell, F.last("_end", ignorenulls=True).over(before)["_v"].alias("_carry"))
-    found = rows.withColumn("_own", F.last("_v", ignorenulls=True).over(inside)).where("_ask = 1").join(ends, cell, "left")
-    value = F.when(F.col(f"_row.{on}").isNotNull(), F.coalesce("_own", "_carry"))
+    large = large.withColumn("_own", last_of(Window.partitionBy(*cell))).where("_ask = 1").join(ends, cell, "left")
+    found = small.unionByName(large.select("_row", F.coalesce("_own", "_carry").alias("_found")))
+    value = F.when(F.col(f"_row.{on}").isNotNull(), F.col("_found"))
     return found.select("_row", value.alias("_got")).select("_row.*", *[F.col(f"_got.{v}").alias(v) for v in values])
 
 
@@ -80,17 +104,24 @@ def _between(tie: Column, kind: str, low: Column, high: Column, prefix: Column)
     return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(PIECES - 1), F.floor(PIECES * (x - a) / F.nullif(z - a, F.lit(0.0))).cast("int"))), F.lit(0))
 
 
-def row_numbers(df: DataFrame, by: Sequence[str], order: str, tie: str, name: str = "rank", *, descending: bool = False) -> DataFrame:
-    """df with the ordinal rank from 1 of each row in its group; ties go by `tie`.
+def row_numbers(df: DataFrame, by: Sequence[str], order: str, tie: str, name: str = "rank", *, descending: bool = False, near: Sequence[str] | None = None) -> DataFrame:
+    """df with the ordinal rank from 1 of each row in its group; ties go by `tie` (W1). Rows without a group are left out.
 
     A group is cut into buckets of the order column. Of a bucket with more than a thousandth of all rows, each value that has so
     many itself is cut again by its tie key, so that ties of any number spread over tasks; such values are fewer than a thousand,
-    and only their list is broadcast. df is evaluated once, into the shared folder; the counts read it from there."""
+    and only their list is broadcast. Where no group has so many rows a window takes each whole. df is evaluated once, into the shared folder;
+    the counts read it from there, and the number of partitions follows from them. near: keys of the group that whole groups are dealt by, where
+    what follows needs no finer ones."""
     b = bucket(F.col(order).cast("double")).cast("long")
     path = sinks.fresh(df.sparkSession, "ranked")
     df.withColumn("_b", -b if descending else b).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
-    least = max(1, rows.count() // HOT_SHARE)
+    total = rows.count()
+    least = max(1, total // HOT_SHARE)
+    o = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
+    if rows.groupBy(*by).agg(F.count("*").alias("_n")).where(F.col("_n") > min(least, GROUP_ROWS)).isEmpty():
+        rows = dealt(rows.dropna(subset=list(by)), total, near or by)
+        return rows.select(*df.columns, F.row_number().over(Window.partitionBy(*by).orderBy(o, F.col(tie))).cast("long").alias(name))
     kind = df.schema[tie].dataType.typeName()
     crowded = rows.groupBy(*by, "_b").agg(F.count("*").alias("_n")).where(F.col("_n") > least).select(*by, "_b")
     values = rows.join(F.broadcast(crowded), [*by, "_b"], "left_semi").groupBy(*by, "_b", F.col(order).alias("_v"))
@@ -108,7 +139,7 @@ def row_numbers(df: DataFrame, by: Sequence[str], order: str, tie: str, name: st
     cell = [*by, "_b", "_s", "_p"]
     before = Window.partitionBy(*by).orderBy("_b", "_s", "_p").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy(*cell).agg(F.count("*").alias("_n")).select(*cell, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_c"))
-    o = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
+    rows = dealt(rows, total, cell)
     inside = Window.partitionBy(*cell).orderBy(o, F.col(tie))
     return rows.join(totals, cell).select(*df.columns, (F.col("_c") + F.row_number().over(inside)).alias(name))
 
