@@ -7,6 +7,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tesserine.operators.ordered import dealt
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "labels")
 
 _LABEL = "CASE WHEN c_acctbal >= 4500 THEN 1 ELSE 0 END"
@@ -62,6 +64,8 @@ FIXTURES: dict[str, str | dict[str, str]] = {
     "sheet": """SELECT CAST(c_custkey AS STRING) AS patient_id, CASE WHEN c_custkey % 11 = 0 THEN ' nan ' WHEN c_custkey % 13 = 0 THEN 'n.d.' ELSE CAST(c_acctbal AS STRING) END AS ki67,
         CASE WHEN c_custkey % 7 = 0 THEN '' ELSE c_mktsegment END AS segment FROM customer""",
 }
+#: Tables whose rows a fixture's window takes by a key: they are dealt by it into as many partitions as their rows need.
+_DEALT = {"tiles": ("lineitem", "l_orderkey"), "attention": ("lineitem", "l_orderkey")}
 _USES = {"genes": ("matrix",), "attention": ("tiles",)}
 
 
@@ -94,6 +98,10 @@ class Frames:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def by_slide(self, name: str) -> DataFrame:
+        """A fixture of three rows an order, dealt by slide into as many partitions as its rows need."""
+        return dealt(getattr(self, name), 3 * self.orders.count(), ["slide_id"])
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.table(name)
@@ -101,5 +109,8 @@ class Frames:
             raise AttributeError(name)
         text = ctes(name, "spark")
         used = {t: self.table(t) for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", text)}
+        if name in _DEALT:
+            t, key = _DEALT[name]
+            used[t] = dealt(used[t], used[t].count(), [key])
         marked = re.sub(r"\b(FROM|JOIN) (\w+)\b", lambda m: f"{m[1]} {{{m[2]}}}" if m[2] in used else m[0], text)
         return self.spark.sql(f"WITH {marked} SELECT * FROM {name}", **used)
