@@ -215,7 +215,7 @@ query("f24_short_of_arms", "arms", lambda t: C.short_of_arms(t.arms, ["field", "
 query("f28_recorded_genes", "matrix", lambda t: C.orphans(t.part.select(F.col("p_partkey").cast("string").alias("gene_id")), t.matrix, ["gene_id"]).select("gene_id"), "SELECT CAST(p_partkey AS VARCHAR) AS gene_id FROM part WHERE CAST(p_partkey AS VARCHAR) NOT IN (SELECT gene_id FROM matrix)")
 query("f33_tile_labels", "tiles", lambda t: C.conflicting(t.tiles.withColumn("label", F.when((F.col("slide_id") % 31 == 0) & (F.col("tile_idx") == 1), 1 - F.col("label")).otherwise(F.col("label"))), "slide_id", "label").select("slide_id"), "SELECT slide_id FROM tiles WHERE slide_id % 31 = 0 GROUP BY slide_id HAVING count(*) > 1")
 query("f34_claimed_slides", "attention", lambda t: C.coordinate_clashes(t.attention.withColumn("outer_fold", F.when((F.col("slide_id") % 89 == 0) & (F.col("inner_fold") == 1), F.col("outer_fold") + 1).otherwise(F.col("outer_fold")))), "SELECT DISTINCT slide_id, 'outer folds' AS kind FROM attention WHERE slide_id % 89 = 0")
-query("f32_admitted_slides", "slides preds", lambda t: C.orphans(t.slides.where("slide_id % 3 <> 0").select("slide_id"), t.preds.where("slide_id % 4 <> 0"), ["slide_id"]).withColumn("kind", F.lit("not predicted")).unionByName(C.orphans(t.preds.where("slide_id % 4 <> 0").select("slide_id").distinct(), t.slides.where("slide_id % 3 <> 0"), ["slide_id"]).withColumn("kind", F.lit("not admitted"))),
+query("f32_admitted_slides", "slides preds", lambda t: C.orphans(t.slides.where("slide_id % 3 <> 0").select("slide_id"), t.by_slide("preds").where("slide_id % 4 <> 0"), ["slide_id"]).withColumn("kind", F.lit("not predicted")).unionByName(C.orphans(t.by_slide("preds").where("slide_id % 4 <> 0").select("slide_id").distinct(), t.slides.where("slide_id % 3 <> 0"), ["slide_id"]).withColumn("kind", F.lit("not admitted"))),
     "SELECT slide_id, 'not predicted' AS kind FROM slides WHERE slide_id % 3 <> 0 AND (slide_id % 4 = 0 OR slide_id NOT IN (SELECT slide_id FROM preds)) UNION ALL SELECT DISTINCT slide_id, 'not admitted' FROM preds WHERE slide_id % 4 <> 0 AND slide_id % 3 = 0")
 query("f36_non_finite_loss", "preds", lambda t: C.non_finite(t.preds.withColumn("loss", -F.log(F.when(F.col("slide_id") % 41 == 0, float("nan")).when(F.col("slide_id") % 43 == 0, float("inf")).otherwise(F.col("prob")))), "loss").select("slide_id", "inner_fold"), "SELECT slide_id, inner_fold FROM preds WHERE slide_id % 41 = 0 OR slide_id % 43 = 0")
 query("l06_l07_fit_set", "strata", lambda t: S.fit_set(codes=S.population(t.strata.select("patient_id", F.lit("v").alias("split_version"), F.when(F.col("patient_id").cast("int") % 4 == 0, "test").when(F.col("patient_id").cast("int") % 4 == 1, "fit").when(F.col("patient_id").cast("int") % 4 == 2, "validate").otherwise("predict").alias("category")), "v")), "SELECT DISTINCT patient_id FROM strata WHERE CAST(patient_id AS INT) % 4 < 3")
