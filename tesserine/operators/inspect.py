@@ -34,12 +34,12 @@ def out_risks(slides: DataFrame, by: Sequence[str] = ("field",)) -> DataFrame:
 
 
 def attention_weights(attention: DataFrame, model: Sequence[str] = _MODEL) -> DataFrame:
-    """Softmax of the logits of each slide and model."""
-    keys = [*model, "slide_id"]
-    top = attention.groupBy(*keys).agg(F.max("logit").alias("_top"))
-    e = attention.join(top, keys).withColumn("_e", F.exp(F.col("logit") - F.col("_top")))
-    total = e.groupBy(*keys).agg(F.sum("_e").alias("_sum"))
-    return e.join(total, keys).select(*attention.columns, (F.col("_e") / F.col("_sum")).alias("weight"))
+    """Softmax of the logits of each slide and model.
+
+    The input is read once: a window takes the tiles of one slide and model, which the slide's area bounds, and spills them."""
+    w = Window.partitionBy(*model, "slide_id")
+    e = attention.where(F.col("slide_id").isNotNull()).withColumn("_e", F.exp(F.col("logit") - F.max("logit").over(w)))
+    return e.select(*attention.columns, (F.col("_e") / F.sum("_e").over(w)).alias("weight"))
 
 
 def attention_ensemble(attention: DataFrame, model: Sequence[str] = _MODEL) -> DataFrame:
@@ -52,9 +52,11 @@ def attention_ensemble(attention: DataFrame, model: Sequence[str] = _MODEL) -> D
 def rank_agreement(attention: DataFrame, model: Sequence[str] = _MODEL) -> DataFrame:
     """Median over pairs of models of the Spearman of their tile logits; null below two models or two tiles."""
     named = attention.withColumn("_m", F.concat_ws("/", *[F.col(c).cast("string") for c in model]))
-    ranked = row_numbers(named, ["slide_id", "_m"], "logit", "tile_idx", "_r").select("slide_id", "tile_idx", "_m", "_r")
-    other = ranked.select("slide_id", "tile_idx", F.col("_m").alias("_m2"), F.col("_r").alias("_r2"))
-    pairs = ranked.join(other, ["slide_id", "tile_idx"]).where(F.col("_m") < F.col("_m2"))
+    ranked = row_numbers(named.select("slide_id", "tile_idx", "_m", "logit"), ["slide_id", "_m"], "logit", "tile_idx", "_r", near=["slide_id"])
+    # the models of a tile are as many as the study has
+    tiles = ranked.where(F.col("slide_id").isNotNull() & F.col("tile_idx").isNotNull()).groupBy("slide_id", "tile_idx").agg(F.collect_list(F.struct("_m", "_r")).alias("_all"))
+    later = lambda a: F.transform(F.filter("_all", lambda b: a["_m"] < b["_m"]), lambda b: F.struct(a["_m"].alias("_m"), b["_m"].alias("_m2"), a["_r"].alias("_r"), b["_r"].alias("_r2")))
+    pairs = tiles.select("slide_id", F.explode(F.flatten(F.transform("_all", later))).alias("_p")).select("slide_id", "_p.*")
     each = pairs.groupBy("slide_id", "_m", "_m2").agg(F.count("*").alias("_n"), M.pearson(F.col("_r").cast("double"), F.col("_r2").cast("double")).alias("_rho"))
     # a group holds a pair of models a row, whose number the study fixes
     found = each.where("_n >= 2").groupBy("slide_id").agg(F.round(F.percentile("_rho", 0.5), 12).alias("agreement"))
