@@ -258,3 +258,63 @@ def test_words_that_fool_polynomial_hashes(docs):
     assert all(got[i].component_id == i for i in got)
     found = {r.doc_id: r.fingerprint for r in fingerprint_pairs(docs(rows)).collect()}
     assert len({found[3], found[4]}) == len({found[1], found[2]}) == 2
+
+
+def test_shingles_of_a_batch():
+    """All texts of an Arrow array at once, whole or sliced, against sets of words: words of any size, any white space."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tesserine.llm.common import shingles_of_all
+
+    r = random.Random(4)
+    words = ["a", "B", "b", "É", "é", "\x00", "a\x00", "1234567", "12345678", "123456789", "x" * 63, "x" * 64, "x" * 65, "y" * 200]
+    text = lambda n: "".join(r.choice(words) + r.choice([" ", "\t", "\n", "\x0b", "\r ", "  \x0c"]) for _ in range(n))
+    texts = [None, "", " ", "\n \t", *(text(r.choice([0, 1, 2, 3, 5, 20, 200])) for _ in range(150)), "a", ""]
+    for k in (1, 2, 4, 30):
+        for some, array in ((texts, pa.array(texts)), (texts[3:90], pa.array(texts).slice(3, 87)), ([], pa.array([], pa.string()))):
+            flat, ends = shingles_of_all(array, k)
+            got, want = [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], [shingle_set(t, k) for t in some]
+            assert [len(s) for s in got] == [len(s) for s in want]
+            assert all((s[1:] > s[:-1]).all() for s in got)
+            for _ in range(300 if some else 0):
+                a, b = r.randrange(len(some)), r.randrange(len(some))
+                assert len(np.intersect1d(got[a], got[b])) == len(want[a] & want[b])
+
+
+def test_postings_are_dealt_evenly():
+    """Prefixes hold the smallest shingles of a text; no part may get most of them."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    from tesserine.llm.jaccard_join import _emit_postings, _lists_of_part
+
+    rare = np.random.default_rng(3).integers(0, 2**60, (400, 20))  # the lowest sixteenth of all
+    rare[1, 0] = rare[0, 0]
+    batch = pa.RecordBatch.from_pydict({"x": pa.array(range(400), pa.int64()), "n": pa.array([100] * 400, pa.int64()), "rare": pa.array(rare.tolist(), pa.list_(pa.int64()))})
+    parts = [row for b in _emit_postings(4)(iter([batch.slice(0, 150), batch.slice(150)])) for row in b.to_pylist()]
+    size = [len(row["s"]) // 8 for row in parts]
+    assert sum(size) == 8000 and len(size) == 16 and max(size) < 1000
+    found = pd.concat(_lists_of_part(16, Threshold(85, 100))(pd.DataFrame([row])) for row in parts)
+    assert found[["a", "b"]].to_numpy().tolist() == [[0, 1]]
+
+
+def test_copies_are_hashed_once(docs, monkeypatch):
+    """Copies add neither sketches nor counts: what many copies hold is no more frequent for it."""
+    from tesserine.llm import jaccard_join
+
+    tables, counts, write = {}, [], jaccard_join.materialize
+    frequent = jaccard_join.frequent_shingles
+    monkeypatch.setattr(jaccard_join, "materialize", lambda df, name: tables.setdefault(name, []).append(out := write(df, name)) or out)
+    monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda *a, **b: counts.append(got := frequent(*a, **b)) or got)
+    monkeypatch.setattr(jaccard_join, "discard", lambda *tables: None)
+    some = [t for _, t in corpus(3, 40) if len(t or "") < 5000]
+    rows = [(i, some[i % len(some)]) for i in range(20 * len(some))]
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.class_size) for x in jaccard_components(docs(rows), words=4, threshold=Threshold(85, 100)).collect()}
+    brute = brute_components(list(enumerate(some)), 4, 85, 100)
+    sets = [frozenset(shingle_set(t, 4)) for t in some]
+    assert {i: x[:2] for i, x in got.items()} == {i: (brute[i % len(some)] if sets[i % len(some)] else (0, i)) for i, _ in rows}
+    assert all(got[i][2] == (20 * sets.count(sets[i % len(some)]) if sets[i % len(some)] else 1) for i, _ in rows)
+    assert tables["sketch"][0].count() == len({t or "" for t in some})
+    assert all(n <= len(set(some)) for n in counts[0][3])
